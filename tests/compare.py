@@ -10,6 +10,9 @@ import os
 import duckdb
 
 
+TYPES = {"string": "VARCHAR", "int": "INTEGER"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -41,6 +44,7 @@ def differences(df, con, sql: str) -> str | None:
         here, there = mine[1] - theirs[1], theirs[1] - mine[1]
         return (f"{mine[0]}: {sum(mine[1].values())} rows against {sum(theirs[1].values())}; "
                 f"only here {list(here)[:3]}, only there {list(there)[:3]}")
-    a = {tuple(type(v) for v in r if v is not None) for r in list(mine[1])[:200]}
-    b = {tuple(type(v) for v in r if v is not None) for r in list(theirs[1])[:200]}
-    return None if a == b or not mine[1] else f"value types {a} against {b}"
+    kinds = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    other = {f.name: (f.dataType.simpleString(), kinds[f.name]) for f in df.schema.fields
+             if TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) != kinds[f.name]}
+    return f"types {other}" if other else None

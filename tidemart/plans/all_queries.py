@@ -1,6 +1,8 @@
 """Imports every module that registers queries."""
 
-from . import join_queries, metric_queries, visitor_queries  # noqa: F401
+from . import (  # noqa: F401
+    cleaning_queries, function_queries, join_queries, metric_queries, sink_queries, visitor_queries,
+)
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
