@@ -147,25 +147,45 @@ def course_orders(orders: DataFrame, course: DataFrame, subject: DataFrame, cate
 ORDER_GROUP_MEASURES = {"order_total_amount": "decimal(18,2)", "order_uu_count": "bigint", "order_count": "bigint"}
 
 
-def order_group_rows(orders: DataFrame, group: str) -> DataFrame:
-    """Amount of every line, plus daily-first rows of orders and of users within a group."""
-    lines = filters.filter_required_keys(orders, "user_id", group)
-    amounts = _rows(lines, "s", {group: group}, {"order_total_amount": measures.money(F.col("final_amount"))})
-    # An order counts under the group of its first line of the day.
-    first_lines = firsts.daily_first(lines.select("order_id", "ts", "id", group), ["order_id"], ["ts", "id"], unit="s")
-    counted = _rows(first_lines, "s", {group: group}, {"order_count": F.lit(1)})
-    first_users = firsts.daily_first_time(lines, ["user_id", group], unit="s")
-    users = _rows(first_users, "s", {group: group}, {"order_uu_count": F.lit(1)})
-    return _union([group], amounts, counted, users)
+def order_group_rows(orders: DataFrame, group: str, size: str) -> DataFrame:
+    """Amounts per window, plus daily-first rows of orders and of users within a group.
+
+    The three counts need three groupings. Each line takes part in all of them as one row each, so
+    the lines, often the outcome of joins, are computed once and grouped in one shuffle, after a
+    partial aggregation.
+    """
+    lines = timefmt.with_event_time(filters.filter_required_keys(orders, "user_id", group), "s")
+    day = F.to_date("event_time").cast("timestamp")
+    amount = measures.money(F.col("final_amount"))
+    none, at = F.lit(None), F.struct("ts", "id", group)
+
+    def share(kind: str, a, b, slot, part=none, first=none):
+        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.cast("string").alias("b"), slot.alias("slot"),
+                        part.cast("decimal(18,2)").alias("amount"),
+                        first.cast(lines.select(at.alias("f")).schema["f"].dataType).alias("first"))
+
+    shares = lines.select(F.inline(F.array(
+        share("amount", F.col(group), none, F.window("event_time", size)["start"], part=amount),
+        # An order counts under the group of its first line of the day.
+        share("order", F.col("order_id"), none, day, first=at),
+        share("user", F.col("user_id"), F.col(group), day, first=at))))
+    grouped = shares.groupBy("kind", "a", "b", "slot").agg(
+        F.sum("amount").alias("order_total_amount"), F.min("first").alias("first"))
+    is_kind = {k: F.col("kind") == k for k in ("amount", "order", "user")}
+    return grouped.select(
+        F.when(is_kind["amount"], F.col("slot")).otherwise(F.timestamp_seconds("first.ts")).alias("event_time"),
+        F.when(is_kind["amount"], F.col("a")).otherwise(F.col(f"first.{group}")).alias(group),
+        F.coalesce("order_total_amount", F.lit(0)).alias("order_total_amount"),
+        measures.indicator(is_kind["order"]).alias("order_count"), measures.indicator(is_kind["user"]).alias("order_uu_count"))
 
 
 def source_orders(orders: DataFrame, source: DataFrame, size: str = fixed.METRIC_WINDOW) -> DataFrame:
-    summed = windowed_metric(order_group_rows(orders, "source_id"), ["source_id"], ORDER_GROUP_MEASURES, size)
+    summed = windowed_metric(order_group_rows(orders, "source_id", size), ["source_id"], ORDER_GROUP_MEASURES, size)
     return dims.dim_lookup(summed, source, "source_id", {"source_site": "source_name"})
 
 
 def province_orders(orders: DataFrame, province: DataFrame, size: str = fixed.PROVINCE_WINDOW) -> DataFrame:
-    summed = windowed_metric(order_group_rows(orders, "province_id"), ["province_id"], ORDER_GROUP_MEASURES, size)
+    summed = windowed_metric(order_group_rows(orders, "province_id", size), ["province_id"], ORDER_GROUP_MEASURES, size)
     return dims.dim_lookup(summed, province, "province_id", {"name": "province_name"})
 
 

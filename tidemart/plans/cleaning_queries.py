@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import jsontext, measures
@@ -108,8 +109,14 @@ DIM_CONFIG = [
 DIM_CONFIG_SCHEMA = "source_table string, sink_table string, sink_columns string, sink_row_key string"
 
 
+def _local(spark, rows, schema):
+    # From pandas, so that Spark knows the size of the rows and can decide on a broadcast.
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
+
+
 def fact_config(spark):
-    return config.config_latest(spark.createDataFrame(FACT_CONFIG, FACT_CONFIG_SCHEMA), config.FACT_KEY).select(
+    return config.config_latest(_local(spark, FACT_CONFIG, FACT_CONFIG_SCHEMA), config.FACT_KEY).select(
         "source_table", "source_type", "sink_table", "sink_columns")
 
 
@@ -163,7 +170,7 @@ def route_by_config(spark, sf):
   WHERE "table" IN ('favor_info', 'review_info') AND "database" = 'edu' AND type IN {TYPES} AND k % 8 <> 0"""))
 def route_by_config_dim(spark, sf):
     cleaned = cdc.cdc_clean_dim(inputs.event_changes(spark, sf))
-    routed = routing.route_by_config(cleaned, spark.createDataFrame(DIM_CONFIG, DIM_CONFIG_SCHEMA), "dim")
+    routed = routing.route_by_config(cleaned, _local(spark, DIM_CONFIG, DIM_CONFIG_SCHEMA), "dim")
     return routed.select("sink_table", "sink_row_key", *cdc.fields("type", "id", "user_id", "extra"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Runtime settings only: all of them can be put on a session that already runs.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys: the oversized partition is cut by map-output ranges at run time, so that
@@ -36,6 +37,7 @@ def build(master: str = "local[8]", name: str = "tidemart", **extra: str) -> Spa
     """A local session for tests and benchmarks."""
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         "spark.python.unix.domain.socket.enabled": "true",
