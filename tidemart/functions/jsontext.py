@@ -7,11 +7,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 BAD = "_bad"
 
 
+def once(column: Column) -> Column:
+    """Evaluate an expensive column once per row.
+
+    Conditions on a plain column are pushed below its projection and would evaluate it a second time;
+    they are not pushed below a generator.
+    """
+    return F.explode(F.array(column))
+
+
 def parse(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Parse JSON text into struct column `rec`; bad text lands in rec._bad, the rest stays null."""
-    return df.withColumn(
-        "rec", F.from_json(F.col(value), f"{schema}, {BAD} string", {"columnNameOfCorruptRecord": BAD})
-    )
+    parsed = F.from_json(F.col(value), f"{schema}, {BAD} string", {"columnNameOfCorruptRecord": BAD})
+    return df.select("*", once(parsed).alias("rec"))
 
 
 def is_bad() -> Column:

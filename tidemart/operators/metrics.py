@@ -60,6 +60,10 @@ def traffic_rows(pages: DataFrame, visitors_daily: DataFrame, jumps: DataFrame)
 def traffic(pages: DataFrame, source: DataFrame, province: DataFrame, tie: Sequence[str] = (),
             size: str = fixed.METRIC_WINDOW) -> DataFrame:
     """Visitors, sessions, page views, time and jumps by version, source, province and new flag."""
+    # Picking first rows carries whole rows through the shuffle, so only what is counted goes in.
+    pages = pages.select(
+        F.struct("common.mid", *TRAFFIC_KEYS.values()).alias("common"),
+        F.struct("page.last_page_id", "page.during_time").alias("page"), "ts", *tie)
     rows = traffic_rows(pages, visitors.unique_visitor_daily(pages, tie), visitors.user_jump(pages, tie))
     summed = windowed_metric(rows, [*TRAFFIC_KEYS], TRAFFIC_MEASURES, size)
     return dims.dim_two_keys(summed, source, province).drop("source_id", "province_id")

@@ -69,7 +69,7 @@ def user_jump(pages: DataFrame, tie: Sequence[str] = (), timeout_ms: int = fixed
 
 def first_login(pages: DataFrame, tie: Sequence[str] = (), key: str = "common.mid") -> DataFrame:
     """The earliest logged-in page per device (or other log field) and day, as flat login rows."""
-    logged_in = filters.filter_login_pages(pages).withColumn("_key", F.col(key))
+    logged_in = filters.filter_login_pages(pages).select("common", "ts", *tie, F.col(key).alias("_key"))
     return filters.flatten_login(firsts.daily_first(logged_in, ["_key"], ["ts", *tie]))
 
 

@@ -25,7 +25,7 @@ def read_cdc_envelope(spark, sf):
 
 
 def _page_topic(spark, sf):
-    return inputs.pages(spark, sf).select(jsontext.record(["common", "page", "ts"]).alias("value"))
+    return inputs.pages(spark, sf).select(jsontext.once(jsontext.record(["common", "page", "ts"])).alias("value"))
 
 
 @query("read_page_log", with_inputs("pages", "SELECT mid, uid, sid, sc, page_id, last_page_id, during_time, ts FROM pages"))
@@ -221,6 +221,10 @@ def _clean(spark, sf):
     return logs.clean_log(logs.parse_log(inputs.log_topic(spark, sf)))
 
 
+SPLIT_FIELDS = """common struct<mid:string>, ts bigint, page struct<page_id:string>, err struct<code:string>,
+  start struct<entry:string>, appVideo struct<video_id:string>, display struct<item:string>, action struct<action_id:string>"""
+
+
 @query("split_log", with_inputs("logs", """
   SELECT event_id, 'dwd_traffic_err' AS topic, mid, ts, CASE WHEN on_page THEN page_id END AS page_id,
          CAST(k AS VARCHAR) AS err_code, CASE WHEN is_start THEN 'icon' END AS start_entry,
@@ -238,12 +242,11 @@ def _clean(spark, sf):
     FROM logs WHERE has_actions"""))
 def split_log(spark, sf):
     out = splitting.split_log(_clean(spark, sf))
-    field = jsontext.get_text
-    return out.select(
-        "event_id", "topic", field("value", "$.common.mid").alias("mid"), field("value", "$.ts").cast("bigint").alias("ts"),
-        field("value", "$.page.page_id").alias("page_id"), field("value", "$.err.code").alias("err_code"),
-        field("value", "$.start.entry").alias("start_entry"), field("value", "$.appVideo.video_id").alias("video_id"),
-        field("value", "$.display.item").alias("shown"), field("value", "$.action.action_id").alias("action"))
+    rows = jsontext.parse(out, SPLIT_FIELDS)
+    return rows.select(
+        "event_id", "topic", "rec.common.mid", "rec.ts", "rec.page.page_id", F.col("rec.err.code").alias("err_code"),
+        F.col("rec.start.entry").alias("start_entry"), "rec.appVideo.video_id", F.col("rec.display.item").alias("shown"),
+        F.col("rec.action.action_id").alias("action"))
 
 
 @query("explode_displays", with_inputs("logs", """

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import measures, timefmt
+from ..functions import jsontext, measures, timefmt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,8 +121,8 @@ def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines as JSON text. k = 99 lines are cut short, k = 98 lines empty, k = 97 lines null."""
     records = log_records(spark, sf_dir)
     line = F.to_json(F.struct("common", "page", "displays", "actions", "start", "err", "appVideo", "ts"))
-    return records.select("event_id", F.when(F.col("k") == 99, F.substring(line, 1, 40)).when(
-        F.col("k") == 98, "").when(F.col("k") < 97, line).alias("value"))
+    value = F.when(F.col("k") == 99, F.substring(line, 1, 40)).when(F.col("k") == 98, "").when(F.col("k") < 97, line)
+    return records.select("event_id", jsontext.once(value).alias("value"))
 
 
 def cents(column) -> Column:
@@ -263,7 +263,7 @@ def trade_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_topic(changes: DataFrame) -> DataFrame:
     """Change records as JSON text."""
-    return changes.select(F.to_json(F.struct(*changes.columns)).alias("value"))
+    return changes.select(jsontext.once(F.to_json(F.struct(*changes.columns))).alias("value"))
 
 
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

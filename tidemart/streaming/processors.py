@@ -6,6 +6,7 @@ timers clear it, so that state does not outlive its use. Within a micro-batch ro
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Iterator
 
@@ -33,18 +34,15 @@ class FixIsNew(StatefulProcessor):
         self.visit = handle.getValueState("visit", "day long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = [f for f in rows if len(f)]
-        first = None
+        # Rows only wait here while the device is unknown: the earliest of them decides, and a device
+        # that first says '0' was here before.
+        waiting = []
         if not self.visit.exists():
-            # The earliest row decides; a device that first says '0' was here before.
-            for frame in frames:
-                row = frame.loc[frame["ts"].idxmin()]
-                if first is None or row["ts"] < first["ts"]:
-                    first = row
-            day = _day(first["ts"]) - (0 if first["is_new"] == "1" else 1)
-            self.visit.update((day,))
+            waiting = [f for f in rows if len(f)]
+            first = min((f.loc[f["ts"].idxmin(), ["ts", "is_new"]] for f in waiting), key=lambda r: r["ts"])
+            self.visit.update((_day(first["ts"]) - (0 if first["is_new"] == "1" else 1),))
         (day,) = self.visit.get()
-        for frame in frames:
+        for frame in itertools.chain(waiting, rows):
             wrong = (frame["is_new"] == "1") & (frame["ts"] // DAY_MS != day)
             yield frame.assign(is_new=frame["is_new"].mask(wrong, "0"))
 
@@ -70,17 +68,15 @@ class DailyFirst(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One row per day is held, however many rows the key has.
         firsts: dict[int, pd.DataFrame] = {}
-        others = []
         for frame in rows:
             for day, of_day in frame.groupby(frame["ts"] // DAY_MS):
                 best = of_day["ts"].idxmin()
-                row = of_day.loc[[best]]
-                rest = [of_day.drop(index=best)]
+                row, later = of_day.loc[[best]], of_day.drop(index=best)
                 held = firsts.get(int(day))
                 if held is None or row["ts"].iat[0] < held["ts"].iat[0]:
                     firsts[int(day)], row = row, held
                 if self.keep_all:
-                    others += rest if row is None else [*rest, row]
+                    yield from (f.assign(previous_day=-1, is_first=0) for f in (later, row) if f is not None and len(f))
         for day in sorted(firsts):
             row = firsts[day]
             last, at = self.seen.get() if self.seen.exists() else (-1, 0)
@@ -94,9 +90,6 @@ class DailyFirst(StatefulProcessor):
                     self.handle.registerTimer(now + self.ttl_ms)
             if is_first or self.keep_all:
                 yield row.assign(previous_day=last, is_first=int(is_first))
-        for frame in others:
-            if len(frame):
-                yield frame.assign(previous_day=-1, is_first=0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
