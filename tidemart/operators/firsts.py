@@ -32,6 +32,17 @@ def _pick(df: DataFrame, keys, order, choose) -> DataFrame:
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
+def join_side(df: DataFrame, key: str, order: Sequence[str], choose=F.max) -> DataFrame:
+    """One row per key as the side of a join whose other side may have hot keys.
+
+    The key is read from the picked row instead of the grouping. So Spark does not take this side as
+    partitioned by the key already and shuffles it, one row per key, once more; only a join of two
+    shuffled sides can be cut by the adaptive skew-join rule.
+    """
+    rest = [c for c in df.columns if c not in order]
+    return df.groupBy(F.col(key).alias("_by")).agg(choose(F.struct(*order, *rest)).alias("_row")).select("_row.*")
+
+
 def daily_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("ts",), unit: str = "ms") -> DataFrame:
     """The first row per key and calendar day. keys are columns; order starts with the epoch column."""
     with_day = _with_day(df, order[0], unit)

@@ -1,16 +1,16 @@
 """Fact joins.
 
-Each join meets at most one row per key on its right side: where several rows would match and the
-keyed sink keeps the last result anyway, the right side is reduced to its last row per key before the
-join. So no group of matches is multiplied out. Hot keys on the left are cut by the adaptive
-skew-join rule (see session.tune), which splits an oversized partition and copies the one matching row.
+Where several rows would match and the keyed sink keeps the last result anyway, the right side is
+reduced to its last row per key before the join. So no group of matches is multiplied out. Hot keys on the left are cut by the adaptive
+skew-join rule (see session.tune and firsts.join_side), which splits an oversized partition, even one
+of identical rows, and copies the one matching row to each part.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .firsts import latest_per
+from .firsts import join_side, latest_per
 
 ORDER_COLUMNS = ("out_trade_no", "trade_body", "session_id", "province_id")
 PAID_COLUMNS = ("course_id", "course_name", "user_id", "origin_amount", "coupon_reduce", "final_amount",
@@ -25,7 +25,7 @@ def join_detail_order(detail: DataFrame, info: DataFrame) -> DataFrame:
 
 def join_order_source(orders: DataFrame, order_log: DataFrame) -> DataFrame:
     """Order lines with the source of their session's last order page, null without one."""
-    last = latest_per(order_log, ["session_id"], ["ts", "source_id"]).drop("ts")
+    last = join_side(order_log, "session_id", ["ts", "source_id"]).drop("ts")
     return orders.join(last, ["session_id"], "left").select(*orders.columns, "source_id")
 
 
@@ -35,22 +35,30 @@ def order_detail_fact(detail: DataFrame, info: DataFrame, order_log: DataFrame)
 
 
 def join_payment_detail(payments: DataFrame, detail: DataFrame) -> DataFrame:
-    """Payments with every line of their order; payments without lines stay."""
+    """Payments with every line of their order; payments without lines stay.
+
+    The many rows per key are on the right here, where an outer join cannot be cut. So matches come from
+    an inner join, which can, and the payments without lines are added.
+    """
     lines = detail.select("order_id", *PAID_COLUMNS)
-    return payments.join(lines, ["order_id"], "left").select(
-        *[c for c in payments.columns if c != "ts"], *PAID_COLUMNS, "ts")
+    columns = [*[c for c in payments.columns if c != "ts"], *PAID_COLUMNS, "ts"]
+    matched = lines.join(payments, ["order_id"]).select(*columns)
+    paid_orders = detail.select(F.col("order_id").alias("_order_id")).distinct()
+    unmatched = payments.join(paid_orders, F.col("order_id") == F.col("_order_id"), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def payment_fact(payments: DataFrame, detail: DataFrame) -> DataFrame:
     """The payment table: one row per payment id, with the last line of its order."""
-    last_line = latest_per(detail.select("order_id", "ts", "id", *PAID_COLUMNS), ["order_id"], ["ts", "id"])
-    return join_payment_detail(latest_per(payments, ["id"], ["ts"]), last_line)
+    last_line = join_side(detail.select("order_id", "ts", "id", *PAID_COLUMNS), "order_id", ["ts", "id"])
+    joined = latest_per(payments, ["id"], ["ts"]).join(last_line.drop("ts", "id"), ["order_id"], "left")
+    return joined.select(*[c for c in payments.columns if c != "ts"], *PAID_COLUMNS, "ts")
 
 
 def join_register_dim(registers: DataFrame, dim_log: DataFrame, now: bool = True) -> DataFrame:
     """Registrations with the user's last page attributes, one row per user; row_op_ts is the run time."""
     users = latest_per(registers, ["id"], ["ts"])
-    attributes = latest_per(dim_log, ["user_id"], ["ts"]).drop("ts")
+    attributes = join_side(dim_log, "user_id", ["ts"]).drop("ts")
     joined = users.withColumnsRenamed(
         {"id": "user_id", "create_time": "register_time", "create_date": "register_date"}
     ).join(attributes, ["user_id"], "left")

@@ -24,10 +24,10 @@ def fix_is_new(logs: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     says_new = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     day = timefmt.day_of_millis("ts")
 
-    first = logs.groupBy(F.col("common.mid").alias("_mid")).agg(
-        F.min(F.struct("ts", *tie, day.alias("day"), F.col("common.is_new").alias("is_new"))).alias("first"))
-    visit_day = F.when(F.col("first.is_new") == "1", F.col("first.day")).otherwise(F.date_sub("first.day", 1))
-    known = first.select("_mid", visit_day.alias("_visit_day"))
+    seen = logs.select(F.col("common.mid").alias("_mid"), "ts", *tie, day.alias("_day"), F.col("common.is_new").alias("_is_new"))
+    first = firsts.join_side(seen, "_mid", ["ts", *tie, "_day", "_is_new"], F.min)
+    known = first.select(
+        "_mid", F.when(F.col("_is_new") == "1", F.col("_day")).otherwise(F.date_sub("_day", 1)).alias("_visit_day"))
 
     claims = logs.where(says_new)
     fixed_flag = F.when(F.col("_visit_day") != day, "0").otherwise(F.col("common.is_new"))
