@@ -34,16 +34,19 @@ def test_metric_table_replay(spark):
     assert values(table.read(), "stt", "n") == [("w0", 1), ("w1", 2)]
 
 
-def test_dim_table_batches_and_compaction(spark):
+def test_dim_store_batches_and_later_merge(spark):
     def changes(*data):
-        return spark.createDataFrame(data, "type string, ts bigint, data map<string,string>")
-
-    table = tables.DimTable(spark, shared_folder(spark, "d"), "id", ["id", "a", "b"], ["ts"])
-    table.write(changes(("insert", 1, {"id": "1", "a": "x", "b": "y"}), ("insert", 1, {"id": "2", "a": "x"})), 0)
-    table.write(changes(("update", 2, {"id": "1", "a": "z"}), ("delete", 2, {"id": "2"})), 1)
-    assert values(table.read(), "id", "a", "b") == [("1", "z", "y")]
-    stored = table.compact(shared_folder(spark, "d"))
-    later = dims.merge_dim(stored, changes(("update", 1, {"id": "1", "b": "w"})), "id", ["id", "a", "b"], ["ts"])
+        return spark.createDataFrame([("dim_t", *d) for d in data] + [("dim_other", "insert", 1, {"id": "1", "a": "no"})],
+                                     "sink_table string, type string, ts bigint, data map<string,string>")
+
+    store = tables.DimStore(spark, shared_folder(spark, "d"), ["ts"])
+    store.write(changes(("insert", 1, {"id": "1", "a": "x", "b": "y"}), ("insert", 1, {"id": "2", "a": "x"})), 0)
+    for _ in range(2):
+        store.write(changes(("update", 2, {"id": "1", "a": "z"}), ("delete", 2, {"id": "2"})), 1)
+    state = store.read_dim("dim_t", "id", ["id", "a", "b"])
+    assert values(state, "id", "a", "b") == [("1", "z", "y")]
+    later = dims.merge_dim(state, changes(("update", 1, {"id": "1", "b": "w"})).where("sink_table = 'dim_t'"),
+                           "id", ["id", "a", "b"], ["ts"])
     assert values(later, "id", "a", "b") == [("1", "z", "w")]
 
 

@@ -133,7 +133,7 @@ def test_sessions_over_batches(spark):
 
 def test_bounded_join_emits_matches_and_late_nulls(spark):
     def side(rows, schema):
-        return split(spark, rows, schema, 2).withColumn("event_time", F.timestamp_seconds("ts"))
+        return windows.watermarked(timefmt.with_event_time(split(spark, rows, schema, 2), "s"), "5 seconds")
 
     t = T0 // 1000
     detail = side([("1", "o1", t), ("2", "o1", t + 1), ("3", "o2", t + 2), ("4", "end", t + 9_999)], "id string, order_id string, ts bigint")

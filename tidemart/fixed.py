@@ -17,6 +17,37 @@ LOG_ACTION = "dwd_traffic_action"
 LOG_DISPLAY = "dwd_traffic_display"
 LOG_VIDEO = "dwd_traffic_appvideo"
 
+# Input topics, fact topics and metric tables.
+TOPIC_DB = "topic_db"
+TOPIC_LOG = "topic_log"
+FACT_UNIQUE_VISITOR = "dwd_traffic_uni_visitor_detail"
+FACT_USER_JUMP = "dwd_traffic_user_jump"
+FACT_STUDY_PLAY = "dwd_study_play"
+FACT_LOGIN = "dwd_user_login"
+FACT_REGISTER = "dwd_user_register"
+FACT_ORDER_DETAIL = "dwd_trade_order_detail"
+FACT_PAYMENT = "dwd_trade_pay_sus_detail"
+FACT_CART_ADD = "dwd_trade_cart_add"
+FACT_EXAM_PAPER = "dwd_exam_test_paper"
+FACT_EXAM_QUESTION = "dwd_exam_test_exam_question"
+FACT_REVIEW = "dwd_interaction_review"
+METRIC_KEYWORD = "dws_traffic_source_keyword_page_view_window"
+METRIC_TRAFFIC = "dws_traffic_vc_source_ar_is_new_page_view_window"
+METRIC_PAGE_VIEW = "dws_traffic_page_view_window"
+METRIC_CHAPTER_PLAY = "dws_study_chapter_play_window"
+METRIC_LOGIN = "dws_user_user_login_window"
+METRIC_REGISTER = "dws_user_user_register_window"
+METRIC_CART_ADD = "dws_trade_cart_add_window"
+METRIC_ORDER_USERS = "dws_trade_order_detail_window"
+METRIC_PAY_USERS = "dws_trade_pay_suc_window"
+METRIC_COURSE_ORDERS = "dws_trade_course_order_window"
+METRIC_SOURCE_ORDERS = "dws_trade_source_order_window"
+METRIC_PROVINCE_ORDERS = "dws_trade_order_provinces_window"
+METRIC_REVIEW = "dws_interaction_course_review_window"
+METRIC_EXAM_PAPER = "dws_exam_paper_test_window"
+METRIC_EXAM_SCORE = "dws_exam_score_test_window"
+METRIC_EXAM_QUESTION = "dws_exam_questions_test_window"
+
 # The three pages of the page-view metric and the order page.
 PAGE_HOME = "home"
 PAGE_LIST = "course_list"

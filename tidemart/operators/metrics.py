@@ -35,7 +35,9 @@ def _union(keys: Sequence[str], *parts: DataFrame) -> DataFrame:
 def keyword(searches: DataFrame, size: str = fixed.METRIC_WINDOW, tokenizer=text.words) -> DataFrame:
     """Words of search texts. Words are counted per window in SQL, as a table function would be."""
     asked = searches.where(F.col("page.item").isNotNull() & (F.col("page.item_type") == fixed.KEYWORD_ITEM))
-    timed = timefmt.with_event_time(asked, "ms").select("event_time", F.col("page.item").alias("full_word"))
+    # A stream comes with event_time and its watermark.
+    timed = asked if "event_time" in asked.columns else timefmt.with_event_time(asked, "ms")
+    timed = timed.select("event_time", F.col("page.item").alias("full_word"))
     split = text.tokenize_explode(timed, "full_word", "keyword", tokenizer)
     counted = windows.tumble_tvf(split, ["keyword"], "keyword_count", size)
     return counted.withColumn("source", F.lit(fixed.KEYWORD_SOURCE))

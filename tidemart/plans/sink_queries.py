@@ -74,12 +74,12 @@ def to_snake_json(spark, sf):
 @query("dim_upsert_batches", with_inputs("user_changes", DIM_STATE))
 def dim_upsert_batches(spark, sf):
     """Dimension changes in two batches of their time, then merged."""
-    table = tables.DimTable(spark, shared_folder(spark, "dim"), "id", ["id", "level", "score"], ["ts", "event_id"])
-    changes = inputs.user_dim_changes(spark, sf)
+    store = tables.DimStore(spark, shared_folder(spark, "dim"), ["ts", "event_id"])
+    changes = inputs.user_dim_changes(spark, sf).withColumn("sink_table", F.lit("dim_user"))
     half = F.col("ts") < 1705363200000
-    table.write(changes.where(half), 0)
-    table.write(changes.where(~half), 1)
-    return table.read()
+    store.write(changes.where(half), 0)
+    store.write(changes.where(~half), 1)
+    return store.read_dim("dim_user", "id", ["id", "level", "score"])
 
 
 @query("dim_table_lifecycle", with_inputs("config_rows", """

@@ -179,7 +179,8 @@ def join_state_ttl(spark, sf):
     """Signups with the clicks of the same user at most two days off; the bound empties the join state."""
     def side(kind, **names):
         rows = inputs.events_stream(spark, sf).where(F.col("event_type") == kind)
-        return timefmt.with_event_time(rows, "ms").select("event_time", "user_id", *[F.col(c).alias(n) for n, c in names.items()])
+        timed = windows.watermarked(timefmt.with_event_time(rows, "ms"), "5 seconds")
+        return timed.select("event_time", "user_id", *[F.col(c).alias(n) for n, c in names.items()])
 
     joined = joins.bounded_join(side("signup", event_id="event_id", ts="ts"), side("click", click_id="event_id"),
                                 "user_id", "leftOuter", "2 days")

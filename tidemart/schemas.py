@@ -29,3 +29,26 @@ FACT_CONFIG = "source_table:string, source_type:string, sink_table:string, sink_
 def config_change(row: str) -> str:
     """Schema of a config change record around a config row."""
     return f"before struct<{row}>, after struct<{row}>, op string, ts_ms bigint"
+
+
+# Fact topics: JSON objects. Values may come as text or number, so each is read as text and then cast.
+ORDER_DETAIL = (
+    "id string, course_id string, course_name string, order_id string, user_id string, origin_amount string, "
+    "coupon_reduce string, final_amount string, create_time string, create_date string, out_trade_no string, "
+    "trade_body string, session_id string, province_id string, source_id string, ts bigint"
+)
+PAYMENT_DETAIL = (
+    "id string, out_trade_no string, order_id string, alipay_trade_no string, total_amount string, trade_body string, "
+    "payment_type string, payment_status string, create_time string, create_date string, callback_time string, "
+    "course_id string, course_name string, user_id string, origin_amount string, coupon_reduce string, "
+    "final_amount string, session_id string, province_id string, source_id string, ts bigint"
+)
+LOGIN = (
+    "user_id string, source_id string, channel string, province_id string, version_code string, mid_id string, "
+    "brand string, model string, operating_system string, login_time string, date_id string, ts bigint"
+)
+REGISTER = "user_id string, register_time string, register_date string, ts bigint"
+CART_ADD = "id string, user_id string, course_id string, ts bigint"
+REVIEW = "id string, user_id string, course_id string, review_stars bigint, ts bigint"
+EXAM_PAPER = "id string, paper_id string, user_id string, score double, duration_sec bigint, ts bigint"
+EXAM_QUESTION = "id string, paper_id string, question_id string, user_id string, is_correct string, ts bigint"

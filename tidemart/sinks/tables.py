@@ -57,20 +57,22 @@ class KeyedTable(MetricTable):
         return folded
 
 
-class DimTable(MetricTable):
-    """A dimension: change batches, merged column by column on reading."""
+class DimStore(MetricTable):
+    """All dimensions: routed changes in batches, merged column by column on reading.
 
-    def __init__(self, spark: SparkSession, path: str, key: str, columns: Sequence[str], order: Sequence[str]):
+    One write per batch serves every dimension; a reader prunes to its own by the partition column.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, order: Sequence[str]):
         super().__init__(spark, path)
-        self.key, self.columns, self.order = key, list(columns), list(order)
+        self.order = list(order)
 
-    def write(self, changes: DataFrame, batch_id: int) -> None:
-        super().write(changes.select("type", *self.order, "data"), batch_id)
+    def write(self, routed: DataFrame, batch_id: int) -> None:
+        rows = routed.select("sink_table", "type", *self.order, "data")
+        rows.write.mode("overwrite").partitionBy("sink_table").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self) -> DataFrame:
-        return dims.dim_upsert(self.batches(), self.key, self.columns, [*self.order, BATCH])
+    def changes(self, table: str) -> DataFrame:
+        return self.batches().where(F.col("sink_table") == table)
 
-    def compact(self, path: str) -> DataFrame:
-        """Write the current rows to `path`; merge_dim adds later changes to them."""
-        self.read().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    def read_dim(self, table: str, key: str, columns: Sequence[str]) -> DataFrame:
+        return dims.dim_upsert(self.changes(table), key, columns, [*self.order, BATCH])

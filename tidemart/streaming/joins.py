@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed
 
 
-def _side(df: DataFrame, name: str, delay: str) -> DataFrame:
-    return df.withColumn(f"_{name}_time", F.col("event_time")).drop("event_time").withWatermark(f"_{name}_time", delay)
+def _side(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumnRenamed("event_time", f"_{name}_time")
 
 
-def bounded_join(left: DataFrame, right: DataFrame, key: str, how: str, bound: str, delay: str = fixed.DELAY_LONG) -> DataFrame:
-    """Join on `key` with at most `bound` between the event times of the two sides."""
-    a = _side(left, "left", delay)
-    b = _side(right, "right", delay).withColumnRenamed(key, "_right_key")
+def bounded_join(left: DataFrame, right: DataFrame, key: str, how: str, bound: str) -> DataFrame:
+    """Join on `key` with at most `bound` between the event times of the two sides.
+
+    Both sides come with event_time and its watermark; the result has the event_time of the left one.
+    """
+    a, b = _side(left, "left"), _side(right, "right").withColumnRenamed(key, "_right_key")
     near = F.expr(f"_right_time BETWEEN _left_time - INTERVAL {bound} AND _left_time + INTERVAL {bound}")
     joined = a.join(b, (F.col(key) == F.col("_right_key")) & near, how)
     return joined.drop("_right_key", "_right_time").withColumnRenamed("_left_time", "event_time")

@@ -57,7 +57,11 @@ def daily_first(df: DataFrame, keys: Sequence[str], delay: str = fixed.DELAY_LON
     The result keeps event_time as its time column, so that a window aggregation can follow.
     """
     rows = df if keep_all else precombine(df, keys)
-    timed = _timed(rows, delay)
+    return daily_first_timed(_timed(rows, delay), keys, ttl_ms, keep_all)
+
+
+def daily_first_timed(timed: DataFrame, keys: Sequence[str], ttl_ms: int | None = None, keep_all: bool = False) -> DataFrame:
+    """The same over rows that have event_time and a watermark, as after another keyed operator."""
     fields = [f for f in timed.schema.fields if f.name != "event_time"]
     schema = T.StructType([*fields, T.StructField("event_time", T.TimestampType()),
                            T.StructField("previous_day", T.LongType()), T.StructField("is_first", T.IntegerType())])
