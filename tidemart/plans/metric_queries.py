@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import functions as F
 
 from ..functions import text, timefmt
@@ -12,9 +14,6 @@ from .inputs_sql import bounds, window_start, with_inputs
 from .registry import query
 from .visitor_queries import LOGIN_UV_BACK, LOGINS, TIE
 
-DAY_MS = 86_400_000
-
-
 def metric_sql(names: str, rows: str, keys: str, measures: dict[str, str], size_ms: int = 10_000, cur_date: bool = True,
                unit: str = "ms", dims: str = "", columns: str = "", **extra: str) -> str:
     """Window sums over `rows`; `columns` and `dims` add dimension names after the sums."""
@@ -68,10 +67,11 @@ TRAFFIC = {
     "jumped": """SELECT * FROM (SELECT *, lead(ts) OVER w AS next_ts, lead(last_page_id IS NULL) OVER w AS next_entry
                                 FROM pages WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id))
                  WHERE last_page_id IS NULL AND (next_ts IS NULL OR next_entry OR next_ts - ts >= 10000)""",
-    "traffic_rows": """SELECT ts, vc, sc, ar, is_new, 0 AS uv_count, CAST(last_page_id IS NULL AS INTEGER) AS total_session_count,
-                      1 AS page_view_count, during_time AS total_during_time, 0 AS jump_session_count FROM pages
-               UNION ALL SELECT ts, vc, sc, ar, is_new, 1, 0, 0, 0, 0 FROM visited
-               UNION ALL SELECT ts, vc, sc, ar, is_new, 0, 0, 0, 0, 1 FROM jumped""",
+    "traffic_rows": """
+      SELECT ts, vc, sc, ar, is_new, 0 AS uv_count, CAST(last_page_id IS NULL AS INTEGER) AS total_session_count,
+             1 AS page_view_count, during_time AS total_during_time, 0 AS jump_session_count FROM pages
+      UNION ALL SELECT ts, vc, sc, ar, is_new, 1, 0, 0, 0, 0 FROM visited
+      UNION ALL SELECT ts, vc, sc, ar, is_new, 0, 0, 0, 0, 1 FROM jumped""",
 }
 
 
@@ -84,133 +84,107 @@ def union_streams(spark, sf):
     return rows.withColumn("ts", F.unix_millis("event_time")).drop("event_time")
 
 
-TRAFFIC_SUMS = big(*metrics.TRAFFIC_MEASURES)
-
-
-def _traffic_sql(size_ms: int) -> str:
-    return metric_sql(
-        "pages dim_source dim_province", "SELECT * FROM traffic_rows", "vc, sc, ar, is_new", TRAFFIC_SUMS, size_ms,
-        columns="m.vc AS version_code, m.is_new, s.source_site AS source_name, p.name AS province_name",
-        dims="LEFT JOIN dim_source s ON m.sc = s.id LEFT JOIN dim_province p ON m.ar = p.id", **TRAFFIC)
-
+# Window lengths: the one of the job, and longer ones in which the sparse given events really meet.
+TEN_SECONDS = ("", 10_000, "10 seconds")
+FIVE_SECONDS = ("", 5_000, "5 seconds")
+HOUR = ("_1h", 3_600_000, "1 hour")
+DAY = ("_1d", 86_400_000, "1 day")
 
-def _traffic(spark, sf, size):
-    return metrics.traffic(inputs.pages(spark, sf), inputs.dim_source(spark, sf), inputs.dim_province(spark, sf), TIE, size)
 
+def each_size(key: str, sql: Callable[[int], str], run: Callable, *sizes: tuple[str, int, str]) -> None:
+    """Register a metric once per window length."""
+    for suffix, size_ms, size in sizes or (TEN_SECONDS, DAY):
+        query(key + suffix, sql(size_ms))(lambda spark, sf, size=size: run(spark, sf, size))
 
-@query("dws_traffic_vc_source_province_new", _traffic_sql(10_000))
-def dws_traffic(spark, sf):
-    return _traffic(spark, sf, "10 seconds")
 
-
-@query("dws_traffic_vc_source_province_new_1d", _traffic_sql(DAY_MS))
-def dws_traffic_1d(spark, sf):
-    return _traffic(spark, sf, "1 day")
+each_size(
+    "dws_traffic_vc_source_province_new",
+    lambda ms: metric_sql(
+        "pages dim_source dim_province", "SELECT * FROM traffic_rows", "vc, sc, ar, is_new", big(*metrics.TRAFFIC_MEASURES), ms,
+        columns="m.vc AS version_code, m.is_new, s.source_site AS source_name, p.name AS province_name",
+        dims="LEFT JOIN dim_source s ON m.sc = s.id LEFT JOIN dim_province p ON m.ar = p.id", **TRAFFIC),
+    lambda spark, sf, size: metrics.traffic(
+        inputs.pages(spark, sf), inputs.dim_source(spark, sf), inputs.dim_province(spark, sf), TIE, size))
 
 
-# A3 -------------------------------------------------------------------------------------------------
+# A3, A4 ---------------------------------------------------------------------------------------------
 PAGE_FIRSTS = """
   SELECT min(ts) AS ts, CAST(page_id = 'home' AS INTEGER) AS home_uv_count,
          CAST(page_id = 'course_list' AS INTEGER) AS list_uv_count,
          CAST(page_id = 'course_detail' AS INTEGER) AS detail_uv_count
   FROM pages WHERE page_id IN ('home', 'course_list', 'course_detail') GROUP BY mid, page_id, ts // 86400000"""
-PAGE_SUMS = big("home_uv_count", "list_uv_count", "detail_uv_count")
 
+each_size(
+    "dws_page_view",
+    lambda ms: metric_sql("pages", PAGE_FIRSTS, "", big(*metrics.PAGE_MEASURES), ms),
+    lambda spark, sf, size: metrics.page_view(inputs.pages(spark, sf), size=size), TEN_SECONDS, HOUR)
 
-@query("dws_page_view", metric_sql("pages", PAGE_FIRSTS, "", PAGE_SUMS))
-def dws_page_view(spark, sf):
-    return metrics.page_view(inputs.pages(spark, sf))
-
-
-@query("dws_page_view_1h", metric_sql("pages", PAGE_FIRSTS, "", PAGE_SUMS, 3_600_000))
-def dws_page_view_1h(spark, sf):
-    return metrics.page_view(inputs.pages(spark, sf), size="1 hour")
-
-
-# A4 -------------------------------------------------------------------------------------------------
-@query("dws_chapter_play", metric_sql(
-    "videos dim_video dim_chapter",
-    """SELECT ts, video_id, 1 AS play_count, play_sec AS play_total_sec, 0 AS play_uu_count FROM videos
-       UNION ALL SELECT min(ts), video_id, 0, 0, 1 FROM videos GROUP BY uid, video_id, ts // 86400000""",
-    "video_id", big("play_count", "play_total_sec", "play_uu_count"), cur_date=False,
-    columns="m.video_id, v.chapter_id, c.chapter_name",
-    dims="LEFT JOIN dim_video v ON m.video_id = v.id LEFT JOIN dim_chapter c ON v.chapter_id = c.id"))
-def dws_chapter_play(spark, sf):
-    return metrics.chapter_play(
-        logs.flatten_play(inputs.videos(spark, sf)), inputs.dim_video(spark, sf), inputs.dim_chapter(spark, sf))
+each_size(
+    "dws_chapter_play",
+    lambda ms: metric_sql(
+        "videos dim_video dim_chapter",
+        """SELECT ts, video_id, 1 AS play_count, play_sec AS play_total_sec, 0 AS play_uu_count FROM videos
+           UNION ALL SELECT min(ts), video_id, 0, 0, 1 FROM videos GROUP BY uid, video_id, ts // 86400000""",
+        "video_id", big("play_count", "play_total_sec", "play_uu_count"), ms, cur_date=False,
+        columns="m.video_id, v.chapter_id, c.chapter_name",
+        dims="LEFT JOIN dim_video v ON m.video_id = v.id LEFT JOIN dim_chapter c ON v.chapter_id = c.id"),
+    lambda spark, sf, size: metrics.chapter_play(
+        logs.flatten_play(inputs.videos(spark, sf)), inputs.dim_video(spark, sf), inputs.dim_chapter(spark, sf), size=size))
 
 
 # A5, A6 ---------------------------------------------------------------------------------------------
-@query("dws_user_login", metric_sql("pages", LOGIN_UV_BACK, "", big("uv_count", "back_count"), logins=LOGINS))
-def dws_user_login(spark, sf):
-    return metrics.user_login(visitors.first_login(inputs.pages(spark, sf), TIE))
-
-
-@query("dws_user_register", metric_sql("registers", "SELECT ts, 1 AS register_count FROM registers", "",
-                                       big("register_count"), unit="s", cur_date=False))
-def dws_user_register(spark, sf):
-    return metrics.user_register(inputs.registers(spark, sf))
-
-
-# A7 -------------------------------------------------------------------------------------------------
-def _cart_sql(size_ms):
-    return metric_sql(
+each_size(
+    "dws_user_login",
+    lambda ms: metric_sql("pages", LOGIN_UV_BACK, "", big("uv_count", "back_count"), ms, logins=LOGINS),
+    lambda spark, sf, size: metrics.user_login(visitors.first_login(inputs.pages(spark, sf), TIE), size))
+
+each_size(
+    "dws_user_register",
+    lambda ms: metric_sql("registers", "SELECT ts, 1 AS register_count FROM registers", "", big("register_count"), ms,
+                          unit="s", cur_date=False),
+    lambda spark, sf, size: metrics.user_register(inputs.registers(spark, sf), size))
+
+
+# A7 to A9 -------------------------------------------------------------------------------------------
+each_size(
+    "dws_cart_add",
+    lambda ms: metric_sql(
         "ev", "SELECT min(ts_s) AS ts, 1 AS cart_add_uv_count FROM ev WHERE event_type = 'click' GROUP BY user_id, day",
-        "", big("cart_add_uv_count"), size_ms, unit="s")
-
+        "", big("cart_add_uv_count"), ms, unit="s"),
+    lambda spark, sf, size: metrics.cart_add(inputs.carts_of(inputs.events(spark, sf)), size), TEN_SECONDS, HOUR)
 
-@query("dws_cart_add", _cart_sql(10_000))
-def dws_cart_add(spark, sf):
-    return metrics.cart_add(inputs.carts_of(inputs.events(spark, sf)))
 
-
-@query("dws_cart_add_1h", _cart_sql(3_600_000))
-def dws_cart_add_1h(spark, sf):
-    return metrics.cart_add(inputs.carts_of(inputs.events(spark, sf)), "1 hour")
-
-
-# A8, A9 ---------------------------------------------------------------------------------------------
-def users_sql(source: str, uv: str, new: str, keep: str = "TRUE", size_ms: int = 10_000) -> str:
+def users_sql(source: str, uv: str, new: str, size_ms: int, keep: str = "TRUE") -> str:
     return metric_sql(source, f"""
       SELECT min(ts) AS ts, 1 AS {uv},
              CAST(ts // 86400 = min(min(ts // 86400)) OVER (PARTITION BY user_id) AS INTEGER) AS {new}
       FROM {source} WHERE {keep} GROUP BY user_id, ts // 86400""", "", big(uv, new), size_ms, unit="s")
 
 
-@query("dws_order_users", users_sql("orders_fact", "order_uv_count", "new_order_user_count"))
-def dws_order_users(spark, sf):
-    return metrics.order_users(inputs.orders_fact(spark, sf))
+each_size(
+    "dws_order_users",
+    lambda ms: users_sql("orders_fact", "order_uv_count", "new_order_user_count", ms),
+    lambda spark, sf, size: metrics.order_users(inputs.orders_fact(spark, sf), size))
 
-
-@query("dws_pay_users", users_sql("payments_fact", "pay_suc_uv_count", "pay_suc_new_user_count", "user_id IS NOT NULL"))
-def dws_pay_users(spark, sf):
-    return metrics.pay_users(inputs.payments_fact(spark, sf))
+each_size(
+    "dws_pay_users",
+    lambda ms: users_sql("payments_fact", "pay_suc_uv_count", "pay_suc_new_user_count", ms, "user_id IS NOT NULL"),
+    lambda spark, sf, size: metrics.pay_users(inputs.payments_fact(spark, sf), size))
 
 
 # A10 to A12 -----------------------------------------------------------------------------------------
-def _course_sql(size_ms):
-    return metric_sql(
+each_size(
+    "dws_course_orders",
+    lambda ms: metric_sql(
         "orders_fact dim_course dim_subject dim_category",
         "SELECT ts, course_id, final_amount AS order_total_amount FROM orders_fact", "course_id",
-        {"order_total_amount": "DECIMAL(18,2)"}, size_ms, unit="s",
+        {"order_total_amount": "DECIMAL(18,2)"}, ms, unit="s",
         columns="m.course_id, c.course_name, c.subject_id, s.subject_name, s.category_id, g.category_name",
         dims="""LEFT JOIN dim_course c ON m.course_id = c.id LEFT JOIN dim_subject s ON c.subject_id = s.id
-                LEFT JOIN dim_category g ON s.category_id = g.id""")
-
-
-def _course(spark, sf, size):
-    return metrics.course_orders(inputs.orders_fact(spark, sf), inputs.dim_course(spark, sf),
-                                 inputs.dim_subject(spark, sf), inputs.dim_category(spark, sf), size)
-
-
-@query("dws_course_orders", _course_sql(10_000))
-def dws_course_orders(spark, sf):
-    return _course(spark, sf, "10 seconds")
-
-
-@query("dws_course_orders_1d", _course_sql(DAY_MS))
-def dws_course_orders_1d(spark, sf):
-    return _course(spark, sf, "1 day")
+                LEFT JOIN dim_category g ON s.category_id = g.id"""),
+    lambda spark, sf, size: metrics.course_orders(
+        inputs.orders_fact(spark, sf), inputs.dim_course(spark, sf), inputs.dim_subject(spark, sf),
+        inputs.dim_category(spark, sf), size))
 
 
 def group_sql(group: str, dim: str, column: str, name: str, size_ms: int) -> str:
@@ -226,28 +200,20 @@ def group_sql(group: str, dim: str, column: str, name: str, size_ms: int) -> str
         lines=f"SELECT * FROM orders_fact WHERE user_id IS NOT NULL AND {group} IS NOT NULL")
 
 
-@query("dws_source_orders", group_sql("source_id", "dim_source", "source_site", "source_name", 10_000))
-def dws_source_orders(spark, sf):
-    return metrics.source_orders(inputs.orders_fact(spark, sf), inputs.dim_source(spark, sf))
-
-
-@query("dws_source_orders_1d", group_sql("source_id", "dim_source", "source_site", "source_name", DAY_MS))
-def dws_source_orders_1d(spark, sf):
-    return metrics.source_orders(inputs.orders_fact(spark, sf), inputs.dim_source(spark, sf), "1 day")
-
-
-@query("dws_province_orders", group_sql("province_id", "dim_province", "name", "province_name", 5_000))
-def dws_province_orders(spark, sf):
-    return metrics.province_orders(inputs.orders_fact(spark, sf), inputs.dim_province(spark, sf))
+each_size(
+    "dws_source_orders",
+    lambda ms: group_sql("source_id", "dim_source", "source_site", "source_name", ms),
+    lambda spark, sf, size: metrics.source_orders(inputs.orders_fact(spark, sf), inputs.dim_source(spark, sf), size))
 
-
-@query("dws_province_orders_1d", group_sql("province_id", "dim_province", "name", "province_name", DAY_MS))
-def dws_province_orders_1d(spark, sf):
-    return metrics.province_orders(inputs.orders_fact(spark, sf), inputs.dim_province(spark, sf), "1 day")
+each_size(
+    "dws_province_orders",
+    lambda ms: group_sql("province_id", "dim_province", "name", "province_name", ms),
+    lambda spark, sf, size: metrics.province_orders(inputs.orders_fact(spark, sf), inputs.dim_province(spark, sf), size),
+    FIVE_SECONDS, DAY)
 
 
 # A13 to A16 -----------------------------------------------------------------------------------------
-def review_sql(size_ms: int = 10_000) -> str:
+def review_sql(size_ms: int) -> str:
     return metric_sql(
         "ev dim_course",
         """SELECT ts_s AS ts, CAST(k AS VARCHAR) AS course_id, k % 5 + 1 AS review_total_stars, 1 AS review_user_count,
@@ -256,46 +222,45 @@ def review_sql(size_ms: int = 10_000) -> str:
         dims="LEFT JOIN dim_course c ON m.course_id = c.id")
 
 
-@query("dws_course_review", review_sql())
-def dws_course_review(spark, sf):
-    return metrics.course_review(inputs.reviews_of(inputs.events(spark, sf)), inputs.dim_course(spark, sf))
-
-
-@query("dws_exam_paper", metric_sql(
-    "ev dim_paper dim_course",
-    """SELECT ts_s AS ts, CAST(user_id % 10 AS VARCHAR) AS paper_id, 1 AS exam_taken_count,
-              CAST(floor(value) AS BIGINT) AS exam_total_score, k * 10 AS exam_total_during_sec FROM ev""",
-    "paper_id", big(*metrics.PAPER_MEASURES), unit="s", columns="m.paper_id, p.paper_title, p.course_id, c.course_name",
-    dims="LEFT JOIN dim_paper p ON m.paper_id = p.id LEFT JOIN dim_course c ON p.course_id = c.id"))
-def dws_exam_paper(spark, sf):
-    exams = inputs.exams_of(inputs.events(spark, sf))
-    return metrics.exam_paper(exams, inputs.dim_paper(spark, sf), inputs.dim_course(spark, sf))
+each_size(
+    "dws_course_review", review_sql,
+    lambda spark, sf, size: metrics.course_review(
+        inputs.reviews_of(inputs.events(spark, sf)), inputs.dim_course(spark, sf), size))
 
+each_size(
+    "dws_exam_paper",
+    lambda ms: metric_sql(
+        "ev dim_paper dim_course",
+        """SELECT ts_s AS ts, CAST(user_id % 10 AS VARCHAR) AS paper_id, 1 AS exam_taken_count,
+                  CAST(floor(value) AS BIGINT) AS exam_total_score, k * 10 AS exam_total_during_sec FROM ev""",
+        "paper_id", big(*metrics.PAPER_MEASURES), ms, unit="s",
+        columns="m.paper_id, p.paper_title, p.course_id, c.course_name",
+        dims="LEFT JOIN dim_paper p ON m.paper_id = p.id LEFT JOIN dim_course c ON p.course_id = c.id"),
+    lambda spark, sf, size: metrics.exam_paper(
+        inputs.exams_of(inputs.events(spark, sf)), inputs.dim_paper(spark, sf), inputs.dim_course(spark, sf), size))
 
 SCORE_SQL = """CASE WHEN value < 60 THEN '[0,60)' WHEN value < 70 THEN '[60,70)' WHEN value < 80 THEN '[70,80)'
                WHEN value < 90 THEN '[80,90)' WHEN value <= 100 THEN '[90,100]' ELSE '' END"""
 
-
-@query("dws_exam_score", metric_sql(
-    "ev dim_paper",
-    f"""SELECT ts_s AS ts, CAST(user_id % 10 AS VARCHAR) AS paper_id, {SCORE_SQL} AS score_duration, 1 AS user_count FROM ev""",
-    "paper_id, score_duration", big("user_count"), 3_600_000, unit="s",
-    columns="m.paper_id, m.score_duration, p.paper_title", dims="LEFT JOIN dim_paper p ON m.paper_id = p.id"))
-def dws_exam_score(spark, sf):
-    """With a window of an hour, in which papers meet more than one score."""
-    exams = inputs.exams_of(inputs.events(spark, sf))
-    return metrics.exam_score(exams, inputs.dim_paper(spark, sf), "1 hour")
-
-
-@query("dws_exam_question", metric_sql(
-    "ev dim_question",
-    """SELECT ts_s AS ts, CAST(k AS VARCHAR) AS question_id, 1 AS answer_count, event_id % 2 AS correct_answer_count
-       FROM ev""",
-    "question_id", big(*metrics.QUESTION_MEASURES), unit="s", columns="m.question_id, q.question_txt",
-    dims="LEFT JOIN dim_question q ON m.question_id = q.id"))
-def dws_exam_question(spark, sf):
-    answers = inputs.answers_of(inputs.events(spark, sf))
-    return metrics.exam_question(answers, inputs.dim_question(spark, sf))
+each_size(
+    "dws_exam_score",
+    lambda ms: metric_sql(
+        "ev dim_paper",
+        f"SELECT ts_s AS ts, CAST(user_id % 10 AS VARCHAR) AS paper_id, {SCORE_SQL} AS score_duration, 1 AS user_count FROM ev",
+        "paper_id, score_duration", big("user_count"), ms, unit="s",
+        columns="m.paper_id, m.score_duration, p.paper_title", dims="LEFT JOIN dim_paper p ON m.paper_id = p.id"),
+    lambda spark, sf, size: metrics.exam_score(inputs.exams_of(inputs.events(spark, sf)), inputs.dim_paper(spark, sf), size))
+
+each_size(
+    "dws_exam_question",
+    lambda ms: metric_sql(
+        "ev dim_question",
+        """SELECT ts_s AS ts, CAST(k AS VARCHAR) AS question_id, 1 AS answer_count, event_id % 2 AS correct_answer_count
+           FROM ev""",
+        "question_id", big(*metrics.QUESTION_MEASURES), ms, unit="s", columns="m.question_id, q.question_txt",
+        dims="LEFT JOIN dim_question q ON m.question_id = q.id"),
+    lambda spark, sf, size: metrics.exam_question(
+        inputs.answers_of(inputs.events(spark, sf)), inputs.dim_question(spark, sf), size))
 
 
 # W4, W5, W8 -----------------------------------------------------------------------------------------

@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import timefmt
-from ..operators import metrics, windows
+from ..operators import dims, metrics, windows
 from ..session import shared_folder
 from ..sources import logs
 from ..streaming import joins, runs, stateful
 from . import inputs
 from .inputs_sql import bounds, window_start, with_inputs
-from .metric_queries import big, metric_sql
+from .metric_queries import big, metric_sql, review_sql
 from .registry import query
 from .visitor_queries import PLAY_COLUMNS
 
@@ -58,19 +58,12 @@ def watermark_sql(spark, sf):
     return finished(spark, windows.tumble_tvf(rows.withWatermark("event_time", "3 seconds"), ["event_type"], "n", "1 minute"))
 
 
-@query("stream_course_review", closed(metric_sql(
-    "ev dim_course",
-    """SELECT ts_s AS ts, CAST(k AS VARCHAR) AS course_id, k % 5 + 1 AS review_total_stars, 1 AS review_user_count,
-              CAST(k % 5 + 1 = 5 AS INTEGER) AS good_review_user_count FROM ev""",
-    "course_id", big(*metrics.REVIEW_MEASURES), unit="s", columns="m.course_id, c.course_name",
-    dims="LEFT JOIN dim_course c ON m.course_id = c.id"), 10_000, 5_000, "(SELECT ts_s * 1000 AS ts FROM ev)"))
+@query("stream_course_review", closed(review_sql(10_000), 10_000, 5_000, "(SELECT ts_s * 1000 AS ts FROM ev)"))
 def stream_course_review(spark, sf):
     """Window sums of a stream, then a stream-static dimension lookup."""
     rows = metrics.review_rows(inputs.reviews_of(inputs.events_stream(spark, sf)))
     summed = windows.windowed_metric(windows.watermarked(rows, "5 seconds"), ["course_id"], metrics.REVIEW_MEASURES)
-    from ..operators.dims import dim_lookup
-
-    return finished(spark, dim_lookup(summed, inputs.dim_course(spark, sf), "course_id", {"course_name": "course_name"}))
+    return finished(spark, dims.dim_lookup(summed, inputs.dim_course(spark, sf), "course_id", {"course_name": "course_name"}))
 
 
 STREAM_GAP_MS = 6 * 3_600_000

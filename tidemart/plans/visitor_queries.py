@@ -56,6 +56,11 @@ def user_jump(spark, sf):
     return _jump(spark, sf, 10_000)
 
 
+@query("user_jump_10m", _jump_sql(600_000))
+def user_jump_10m(spark, sf):
+    return _jump(spark, sf, 600_000)
+
+
 @query("user_jump_1d", _jump_sql(86_400_000))
 def user_jump_1d(spark, sf):
     return _jump(spark, sf, 86_400_000)
@@ -192,12 +197,18 @@ def _plays(spark, sf):
     return timefmt.with_event_time(logs.flatten_play(inputs.videos(spark, sf)), "ms")
 
 
-@query("session_keyed", session_sql(3_000))
+@query("session_keyed", session_sql(1_800_000))
 def session_keyed(spark, sf):
-    return windows.session_keyed(_plays(spark, sf), 3_000)
+    """Session windows with a gap of half an hour."""
+    return windows.session_keyed(_plays(spark, sf), 1_800_000)
 
 
-@query("dwd_study_play", session_sql(6 * 3_600_000))
+@query("dwd_study_play", session_sql(3_000))
 def dwd_study_play(spark, sf):
+    return windows.session_keyed(_plays(spark, sf), 3_000)
+
+
+@query("dwd_study_play_6h", session_sql(6 * 3_600_000))
+def dwd_study_play_6h(spark, sf):
     """With a gap of six hours, which joins plays of the given events."""
     return windows.session_keyed(_plays(spark, sf), 6 * 3_600_000)
