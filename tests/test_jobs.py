@@ -36,6 +36,8 @@ def log_lines():
         out.append({"common": common, "start": {"entry": "icon"}, "ts": at + 500})
     out.append({"common": {"mid": "end", "uid": "end", "is_new": "0", "sid": "end", "sc": "9"}, "page": {"page_id": "home", "during_time": 0, "item": "end", "item_type": "keyword"}, "ts": END})
     out.append({"common": {"mid": "end", "uid": "end", "is_new": "0", "sid": "end", "sc": "9"}, "page": {"page_id": "order", "during_time": 0}, "ts": END + 1})
+    # The login of 'end' waits for its timer until a still later record comes.
+    out.append({"common": {"mid": "end2", "uid": "end2", "is_new": "0", "sid": "end2", "sc": "9"}, "page": {"page_id": "home", "last_page_id": "x", "during_time": 0}, "ts": END + DAY})
     out.append({"common": {"mid": "end", "uid": "end", "is_new": "0", "sid": "end", "sc": "9"}, "appVideo": {"play_sec": 0, "video_id": "0"}, "ts": END})
     return [json.dumps(r, ensure_ascii=False) for r in out] + ['{"common":', ""]
 
@@ -145,7 +147,7 @@ def same(site, name, expected):
 def test_log_topics(site):
     counts = {t: batch_lines(site, t).count() for t in (
         fixed.LOG_DIRTY, fixed.LOG_START, fixed.LOG_ERR, fixed.LOG_PAGE, fixed.LOG_ACTION, fixed.LOG_DISPLAY, fixed.LOG_VIDEO)}
-    assert counts == {fixed.LOG_DIRTY: 1, fixed.LOG_START: 40, fixed.LOG_ERR: 6, fixed.LOG_PAGE: 102, fixed.LOG_ACTION: 30,
+    assert counts == {fixed.LOG_DIRTY: 1, fixed.LOG_START: 40, fixed.LOG_ERR: 6, fixed.LOG_PAGE: 103, fixed.LOG_ACTION: 30,
                       fixed.LOG_DISPLAY: 40, fixed.LOG_VIDEO: 40}
     flags = logs.read_page_log(batch_lines(site, fixed.LOG_PAGE)).where("common.mid != 'end'")
     assert flags.where(f"common.is_new = '1' and ts >= {T0 + DAY}").count() == 0

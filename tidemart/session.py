@@ -17,6 +17,8 @@ RUNTIME = {
     # even identical copies of one row spread over many tasks.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streams merge the rows of a session before the shuffle, as partial aggregates do.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 STATEFUL = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -30,6 +32,10 @@ def tune(spark: SparkSession) -> SparkSession:
     """Put the settings the operators count on onto a running session."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.getConf().contains("spark.sql.shuffle.partitions"):
+        # Streams open a state store per partition: on one machine the default of 200 mostly costs start-up.
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
