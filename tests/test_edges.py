@@ -313,6 +313,13 @@ def test_exam_score_fraction_is_cut(spark):
     assert (row.exam_total_score, row.course_name) == (59, "n")
 
 
+def test_rows_without_their_value_drop_out(spark):
+    exams = spark.createDataFrame([("p", None, 5, 10), ("p", 70.0, 5, 11)], "paper_id string, score double, duration_sec bigint, ts bigint")
+    assert metrics.paper_rows(exams).count() == metrics.score_rows(exams).count() == 1
+    reviews = spark.createDataFrame([("c", None, 1), ("c", 5, 1)], "course_id string, review_stars bigint, ts bigint")
+    assert values(metrics.review_rows(reviews), "review_total_stars", "good_review_user_count") == [(5, 1)]
+
+
 def test_chinese_text_and_custom_tokenizer(spark):
     df = spark.createDataFrame([(1, "Spark,  数据库 spark!"), (2, "..."), (3, None)], "id int, t string")
     assert values(text.tokenize_explode(df, "t"), "id", "keyword") == [(1, "spark"), (1, "spark"), (1, "数据库")]

@@ -1,10 +1,14 @@
 """Sinks: replays, deletes, compaction, table lifecycle."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidemart.operators import dims
 from tidemart.session import shared_folder
 from tidemart.sinks import lifecycle, tables, topics
+from tidemart.streaming import jobs
+from tidemart.streaming.site import Site
 
 
 def values(df, *columns):
@@ -45,6 +49,9 @@ def test_dim_store_batches_and_later_merge(spark):
         store.write(changes(("update", 2, {"id": "1", "a": "z"}), ("delete", 2, {"id": "2"})), 1)
     state = store.read_dim("dim_t", "id", ["id", "a", "b"])
     assert values(state, "id", "a", "b") == [("1", "z", "y")]
+    base = store.snapshot("dim_t", "id", ["id", "a", "b"], shared_folder(spark, "base"), 0)
+    assert values(base, "id", "a", "b") == [("1", "x", "y"), ("2", "x", None)]
+    assert values(store.read_dim("dim_t", "id", ["id", "a", "b"], base, 0), "id", "a", "b") == [("1", "z", "y")]
     later = dims.merge_dim(state, changes(("update", 1, {"id": "1", "b": "w"})).where("sink_table = 'dim_t'"),
                            "id", ["id", "a", "b"], ["ts"])
     assert values(later, "id", "a", "b") == [("1", "z", "w")]
@@ -64,6 +71,21 @@ def test_topics(spark):
     assert spark.read.text(f"{out}/rows").count() == 2
 
 
+def test_lifecycle_job(spark):
+    def config(op, sink, columns, ts):
+        row = {"source_table": sink, "sink_table": sink, "sink_columns": columns}
+        return json.dumps({"before": row if op == "d" else None, "after": None if op == "d" else row, "op": op, "ts_ms": ts})
+
+    site = Site(spark, shared_folder(spark, "site"), limits={"maxFilesPerTrigger": "1"})
+    folder = f"{site.root}/topics/in/topic=table_process_dim"
+    for lines in ([config("c", "dim_x", "id,a", 1), config("r", "dim_y", "id", 1)], [config("u", "dim_x", "id,a,b", 2), config("d", "dim_y", "id", 2)]):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
+    for query in jobs.dim_tables(site):
+        query.awaitTermination()
+    assert spark.table("dim_x").columns == ["id", "a", "b"] and not spark.catalog.tableExists("dim_y")
+    spark.sql("DROP TABLE dim_x")
+
+
 def test_lifecycle(spark):
     rows = spark.createDataFrame(
         [("dim_a", "c", "id,x", 1), ("dim_b", "r", "id", 1), ("dim_b", "d", "id", 2), ("dim_a", "u", "id,x,y", 3)],

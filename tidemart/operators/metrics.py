@@ -196,7 +196,8 @@ def province_orders(orders: DataFrame, province: DataFrame, size: str = fixed.PR
 
 
 def review_rows(reviews: DataFrame) -> DataFrame:
-    return _rows(reviews, "s", {"course_id": "course_id"}, {
+    """Review measures; a review without stars drops out."""
+    return _rows(filters.filter_required_keys(reviews, "review_stars"), "s", {"course_id": "course_id"}, {
         "review_total_stars": F.col("review_stars"), "review_user_count": F.lit(1),
         "good_review_user_count": measures.indicator(F.col("review_stars") == 5)})
 
@@ -210,8 +211,8 @@ def course_review(reviews: DataFrame, course: DataFrame, size: str = fixed.METRI
 
 
 def paper_rows(exams: DataFrame) -> DataFrame:
-    # The cast cuts the fraction of a score off.
-    return _rows(exams, "s", {"paper_id": "paper_id"}, {
+    """Exam measures; the fraction of a score is cut off, an exam without score drops out."""
+    return _rows(filters.filter_required_keys(exams, "score"), "s", {"paper_id": "paper_id"}, {
         "exam_taken_count": F.lit(1), "exam_total_score": F.col("score").cast("double").cast("bigint"),
         "exam_total_during_sec": F.col("duration_sec")})
 
@@ -226,7 +227,8 @@ def exam_paper(exams: DataFrame, paper: DataFrame, course: DataFrame, size: str
 
 
 def score_rows(exams: DataFrame) -> DataFrame:
-    bucketed = exams.withColumn("score_duration", measures.score_bucket(F.col("score").cast("double")))
+    scored = filters.filter_required_keys(exams, "score")
+    bucketed = scored.withColumn("score_duration", measures.score_bucket(F.col("score").cast("double")))
     return _rows(bucketed, "s", {"paper_id": "paper_id", "score_duration": "score_duration"}, {"user_count": F.lit(1)})
 
 

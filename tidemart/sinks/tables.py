@@ -71,8 +71,22 @@ class DimStore(MetricTable):
         rows = routed.select("sink_table", "type", *self.order, "data")
         rows.write.mode("overwrite").partitionBy("sink_table").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def changes(self, table: str) -> DataFrame:
-        return self.batches().where(F.col("sink_table") == table)
-
-    def read_dim(self, table: str, key: str, columns: Sequence[str]) -> DataFrame:
-        return dims.dim_upsert(self.changes(table), key, columns, [*self.order, BATCH])
+    def changes(self, table: str, after: int | None = None, upto: int | None = None) -> DataFrame:
+        """Changes of one dimension, from the batches after the one and up to the other."""
+        rows = self.batches().where(F.col("sink_table") == table)
+        rows = rows if after is None else rows.where(F.col(BATCH) > after)
+        return rows if upto is None else rows.where(F.col(BATCH) <= upto)
+
+    def read_dim(self, table: str, key: str, columns: Sequence[str], base: DataFrame | None = None,
+                 after: int | None = None) -> DataFrame:
+        """A dimension as it is now: all its changes, or a snapshot and the changes after it."""
+        order = [*self.order, BATCH]
+        if base is None:
+            return dims.dim_upsert(self.changes(table), key, columns, order)
+        return dims.merge_dim(base, self.changes(table, after), key, columns, order)
+
+    def snapshot(self, table: str, key: str, columns: Sequence[str], path: str, upto: int) -> DataFrame:
+        """Write the state after batch `upto`, as the base of later reads."""
+        state = dims.dim_upsert(self.changes(table, upto=upto), key, columns, [*self.order, BATCH])
+        state.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)

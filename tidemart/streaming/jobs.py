@@ -12,6 +12,7 @@ from .. import fixed, schemas
 from ..functions import jsontext, text, timefmt
 from ..operators import dims, filters, metrics, routing, splitting, windows
 from ..operators.joins import PAID_COLUMNS
+from ..sinks import lifecycle
 from ..sources import cdc, config, logs, readers
 from . import joins, stateful
 from .site import CHANGE_ORDER, Site
@@ -33,6 +34,16 @@ def dimensions(site: Site) -> Queries:
     return [site.each_batch(changes.select("table", "type", *CHANGE_ORDER, "data"), "dim", act)]
 
 
+def dim_tables(site: Site, topic: str = "table_process_dim", database: str = "default") -> Queries:
+    """Create, recreate and drop catalog tables as their config rows come and go."""
+    changes = cdc.parse_tolerant(readers.drop_tombstones(site.lines(topic)), schemas.config_change(schemas.DIM_CONFIG))
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        lifecycle.apply_lifecycle(site.spark, config.cdc_before_after(batch), database=database)
+
+    return [site.each_batch(changes, "dim_tables", act)]
+
+
 def base_db(site: Site) -> Queries:
     """Inserts of configured tables to their fact topics."""
     changes = cdc.cdc_clean_fact(cdc.read_cdc_envelope(readers.drop_tombstones(site.lines(fixed.TOPIC_DB)), None))

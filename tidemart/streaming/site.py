@@ -36,11 +36,12 @@ class Site:
         return readers.read_topic(self.spark, "text", True, f"{self.root}/topics/*/topic={topic}", **self.limits)
 
     def facts(self, topic: str, schema: str) -> DataFrame:
-        """A fact topic with typed columns; records that do not parse, and delete markers, are skipped."""
+        """A fact topic with typed columns; records that do not parse, and delete markers, are skipped.
+        A value that does not fit its type is null."""
         typed = [column.split() for column in schema.split(", ")]
         as_text = ", ".join(f"{name} string" for name, _ in typed)
         rows = cdc.parse_tolerant(readers.drop_tombstones(self.lines(topic)), as_text)
-        return rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in typed])
+        return rows.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in typed])
 
     def publish(self, rows: DataFrame, job: str) -> StreamingQuery:
         """Write (topic, value) rows to their topics."""
