@@ -151,10 +151,14 @@ def test_unique_visitor_around_midnight(spark):
 @pytest.mark.parametrize("after, last, jumps", [
     (9_999, None, 2), (10_000, None, 2), (10_001, None, 2),     # the next entry jumps as well: nothing follows it
     (9_999, "home", 0), (10_000, "home", 1), (10_001, "home", 1)])
-@pytest.mark.parametrize("start", [T0, T0 + 1, T0 + 5_000, T0 + 9_999])
-def test_user_jump_next_page(spark, after, last, jumps, start):
-    rows = visitors.user_jump(pages(spark, page("a", start), page("a", start + after, last=last), page("b", start, last="x")))
-    assert rows.count() == jumps
+def test_user_jump_next_page(spark, after, last, jumps):
+    # The same two pages at many places of a slice, each on a device of its own.
+    starts = [T0 + i for i in (0, 1, 5_000, 9_999, 10_000, 25_000, 29_999, 30_000, 30_001, 35_000, 39_999, 40_000)]
+    rows = pages(spark, *[p for i, t in enumerate(starts) for p in (
+        page(f"a{i}", t), page(f"a{i}", t + after, last=last), page(f"b{i}", t, last="x"))])
+    for per_slice in (1, 4):
+        jumped = visitors.user_jump(rows, timeouts_per_slice=per_slice).groupBy("common.mid").count().collect()
+        assert [r["count"] for r in jumped] == [jumps] * (len(starts) if jumps else 0)
 
 
 def test_user_jump_sequences(spark):

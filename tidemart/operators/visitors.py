@@ -42,21 +42,24 @@ def unique_visitor_daily(pages: DataFrame, tie: Sequence[str] = ()) -> DataFrame
     return firsts.daily_first(entries, ["_mid"], ["ts", *tie]).drop("_mid")
 
 
-def user_jump(pages: DataFrame, tie: Sequence[str] = (), timeout_ms: int = fixed.JUMP_TIMEOUT_MS) -> DataFrame:
+def user_jump(pages: DataFrame, tie: Sequence[str] = (), timeout_ms: int = fixed.JUMP_TIMEOUT_MS,
+              timeouts_per_slice: int = 4) -> DataFrame:
     """Entry pages whose visitor left: the device's next page is again an entry, or none follows in time.
 
-    The next page only matters within the timeout, so a device's time line is cut into slices of that
-    length and every page is also shown, as a thin row, to the slice before its own. The window then
-    sorts one slice of one device at a time, whatever the length of the device's history.
+    The next page only matters within the timeout, so a device's time line is cut into slices of a few
+    timeouts. A page in the first timeout of its slice is also shown, as a thin row, to the slice before.
+    The window then sorts one slice of one device at a time, whatever the length of the device's history.
     """
+    slice_ms = timeouts_per_slice * timeout_ms
     entry = F.col("page.last_page_id").isNull()
     payload = [c for c in pages.columns if c != "ts" and c not in tie]
-    slice_no = F.floor(F.col("ts") / timeout_ms)
+    own = F.floor(F.col("ts") / slice_ms)
+    early = F.col("ts") - own * slice_ms < timeout_ms
     sliced = pages.select(
         "ts", *tie, F.col("common.mid").alias("_mid"), entry.alias("_entry"),
         # Pages that are no entries only end the wait of others: their content stays behind.
-        F.when(entry, F.struct(*payload)).alias("_row"),
-        F.explode(F.array(slice_no, slice_no - 1)).alias("_slice"), slice_no.alias("_own"),
+        F.when(entry, F.struct(*payload)).alias("_row"), own.alias("_own"),
+        F.explode(F.when(early, F.array(own, own - 1)).otherwise(F.array(own))).alias("_slice"),
     ).withColumn("_row", F.when(F.col("_slice") == F.col("_own"), F.col("_row")))
 
     order = Window.partitionBy("_mid", "_slice").orderBy("ts", *tie)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-DAY_TEXT = "strftime(make_timestamp({0} * 1000), '%Y-%m-%d')"
 STAMP = "'%Y-%m-%d %H:%M:%S'"
 
 CTES = {

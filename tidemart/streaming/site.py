@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import jsontext
-from ..sinks.tables import DimStore, KeyedTable, MetricTable
+from ..sinks.tables import DimStore, MetricTable
 from ..sources import cdc, readers
 
 # Order of the changes of one dimension row.
@@ -81,6 +81,3 @@ class Site:
         that it sees the dimensions of that moment."""
         table = self.metric_table(name)
         return self.each_batch(rows, name, lambda batch, batch_id: table.write(names(batch), batch_id))
-
-    def keyed(self, name: str, key: Sequence[str], order: Sequence[str]) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/facts/{name}", key, order)
