@@ -29,9 +29,21 @@ def _keyed(df: DataFrame, keys: Sequence[str], processor, schema: T.StructType,
 
 
 def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG) -> DataFrame:
-    """Rows with is_new corrected per device."""
-    timed = _timed(logs, delay)
-    return _keyed(timed, [key], processors.FixIsNew(), timed.schema).drop("event_time")
+    """Rows with is_new corrected per device.
+
+    Only rows that say '1' can change. The others come out as they are; for the state, the earliest of
+    them per device, day and task batch are enough, without their content.
+    """
+    says_new = F.coalesce(F.col("is_new") == "1", F.lit(False))
+    claims = logs.where(says_new).withColumn("says_new", F.lit(True))
+    known = precombine(logs.where(~says_new).select(key, "ts"), [key])
+    fields = {f.name: f.dataType for f in logs.schema.fields}
+    signs = known.select(
+        *[F.col(c) if c in (key, "ts") else F.lit("0" if c == "is_new" else None).cast(fields[c]).alias(c) for c in logs.columns],
+        F.lit(False).alias("says_new"))
+    timed = _timed(claims.unionByName(signs), delay)
+    corrected = _keyed(timed, [key], processors.FixIsNew(), timed.schema).where("says_new").select(*logs.columns)
+    return logs.where(~says_new).unionByName(corrected)
 
 
 def precombine(df: DataFrame, keys: Sequence[str]) -> DataFrame:
