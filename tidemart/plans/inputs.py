@@ -143,7 +143,17 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + key % 86400).alias("ts"))
 
 
+def _with_texts(df: DataFrame) -> DataFrame:
+    """create_time and create_date as text, from ts."""
+    at = F.timestamp_seconds("ts")
+    return df.withColumns({"create_time": F.date_format(at, timefmt.DATETIME), "create_date": F.date_format(at, timefmt.DATE)})
+
+
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_texts(_order_lines(spark, sf_dir))
+
+
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
     ts = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + (key * 37 + line) % 86400
     price, rate = cents("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
@@ -152,9 +162,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Course "), text("l_suppkey")).alias("course_name"), text(key).alias("order_id"),
         text(key % 997).alias("user_id"), price.alias("origin_amount"),
         measures.money(price * rate).alias("coupon_reduce"),
-        measures.money(price * (F.lit(1).cast("decimal(4,2)") - rate)).alias("final_amount"),
-        F.date_format(F.timestamp_seconds(ts), timefmt.DATETIME).alias("create_time"),
-        F.date_format(F.timestamp_seconds(ts), timefmt.DATE).alias("create_date"), ts.alias("ts"))
+        measures.money(price * (F.lit(1).cast("decimal(4,2)") - rate)).alias("final_amount"), ts.alias("ts"))
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +188,8 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with province and source, as the order detail job writes them."""
     from ..operators.joins import order_detail_fact
 
-    return order_detail_fact(order_detail(spark, sf_dir), order_info(spark, sf_dir), order_log(spark, sf_dir))
+    # The texts depend on ts alone, so they are written for the rows that stay.
+    return _with_texts(order_detail_fact(_order_lines(spark, sf_dir), order_info(spark, sf_dir), order_log(spark, sf_dir)))
 
 
 def payments_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
