@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from tidemart.plans.all_queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,9 +24,6 @@ STATEFUL = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_own_folder: str | None = None
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Put the settings the operators count on onto a running session."""
     for key, value in RUNTIME.items():
@@ -59,16 +55,6 @@ def build(master: str = "local[8]", name: str = "tidemart", **extra: str) -> Spa
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the folder named in spark.checkpoint.dir.
-
-    Only a local session, where that setting is missing, gets a folder of its own.
-    """
-    global _own_folder
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if _own_folder is None:
-            _own_folder = tempfile.mkdtemp(prefix="tidemart-")
-        root = _own_folder
+    """A fresh sub-folder of the folder named in spark.checkpoint.dir, else of the warehouse: executors share both."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
