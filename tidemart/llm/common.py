@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..session import shared_folder
 
 # Fixed value: the white space between words. bytes.split() cuts at the same six characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,3 +37,15 @@ def text_or_empty(column: str = "text") -> Column:
 def learned(column: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text, modulo: decides which documents are held out. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus == remainder
+
+
+def slabs(text: bytes, size: int = 1 << 22):
+    """A very long text in pieces that end at white space (the first at or after each 4 MB)."""
+    start, n = 0, len(text)
+    while n - start > size:
+        at = _SPACE.search(text, start + size)
+        if at is None:
+            break
+        yield text[start:at.start()]
+        start = at.start()
+    yield text[start:] if start else text

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import exact_dedup
+from . import exact_dedup, packing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(tune(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_exact_dedup,)}
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(tune(spark), sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_exact_dedup, op9_packing)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
