@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import exact_dedup, packing
+from . import exact_dedup, packing, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(tune(spark), sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_exact_dedup, op9_packing)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_exact_dedup, op9_packing, op10_simhash)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
