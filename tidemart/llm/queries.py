@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import exact_dedup, packing, simhash
-from .common import table
+from . import exact_dedup, langid, mixing, packing, simhash
+from .common import learned, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def language_model(docs: DataFrame) -> langid.Model | None:
+    return langid.fit(docs.where(~learned("doc_id", 5, 0)))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents")
+    told = langid.predict(docs, language_model(docs))
+    return docs.select("doc_id", learned("doc_id", 5, 0).alias("held_out"), told.alias("told")).select(
+        "doc_id", "held_out", "told.*")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(tune(spark), sf_dir, "documents"))
 
@@ -23,6 +34,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.balance(table(tune(spark), sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(tune(spark), sf_dir, "documents"), tokenizer_path())
 
@@ -31,6 +46,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_exact_dedup, op9_packing, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
