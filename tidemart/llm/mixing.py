@@ -30,7 +30,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 STARTS = 32
-TOLERANCE = 1e-9
+TOLERANCE = 1e-7
 MAX_ROUNDS = 200
 
 
@@ -71,15 +71,15 @@ def solve(cells: DataFrame, goals: DataFrame, most: float = MOST) -> DataFrame:
     A round is one aggregation of all cells and one written row per source; the driver sees how many are still open.
     """
     x, lam = F.col("size") / F.col("scale"), F.col("lam")
-    scale = cells.groupBy("owner").agg((F.sum(F.col("n") * F.col("size") * F.col("size"))
-                                        / F.sum(F.col("n") * F.col("size"))).alias("scale"))
+    words = F.col("n") * F.col("size").cast("double")
+    scale = cells.groupBy("owner").agg(F.try_divide(F.sum(words * F.col("size")), F.sum(words)).alias("scale"))
     state = written(goals.where(~F.col("capped")).join(scale, "owner").select(
         "owner", "target", "scale", F.lit(0.0).alias("lam"), F.lit(None).cast("double").alias("low"),
         F.lit(None).cast("double").alias("high"), F.lit(False).alias("done")), "balance")
     for _ in range(MAX_ROUNDS):
         sums = cells.join(state, "owner").groupBy("owner").agg(
-            F.sum(F.col("n") * F.col("size") * most * _sigma(lam * x)).alias("words"),
-            F.sum(F.col("n") * F.col("size") * most * x * _sigma(lam * x) * _sigma(-lam * x)).alias("slope"))
+            F.sum(words * most * _sigma(lam * x)).alias("words"),
+            F.sum(words * most * x * _sigma(lam * x) * _sigma(-lam * x)).alias("slope"))
         miss = F.col("words") - F.col("target")
         moved = state.join(sums, "owner").withColumn("miss", miss).withColumns({
             "done": F.abs("miss") <= TOLERANCE * F.greatest("target", F.lit(1.0)),
