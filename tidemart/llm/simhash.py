@@ -211,13 +211,39 @@ def near_links(prints: DataFrame, column: str = "print", radius: int = RADIUS) -
             .mapInArrow(lambda batches: compare_runs(batches, radius), "a long, b long"))
 
 
+def near_groups(thin: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(print, root, members, component_id) per distinct fingerprint, from written rows (doc_id, print).
+
+    root names the component, members counts its documents, component_id is the smallest of their ids.
+    """
+    prints = written(thin.groupBy("print").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "fingerprints")
+    roots = components(near_links(prints, "print", radius))
+    rooted = prints.join(roots.withColumnRenamed("a", "print"), "print", "left").select(
+        "print", "least", "n", F.coalesce("b", "print").alias("root"))
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members"))
+    return rooted.drop("least", "n").join(groups, "root")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     thin = written(docs.select(F.col(key).alias("doc_id"), simhash(text).alias("print")), "fingerprints")
-    prints = written(thin.groupBy("print").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = components(near_links(prints, "print", radius))
-    rooted = prints.join(roots.withColumnRenamed("a", "print"), "print", "left").select(
-        "print", "least", F.coalesce("b", "print").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return thin.join(rooted.drop("least").join(least, "root").drop("root"), "print").select(
+    return thin.join(near_groups(thin, radius), "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows of docs without near copies, all columns: of each group the row with the smallest id (null ids last,
+    then by a hash of the text) stays.
+
+    Documents alone in their group meet one row of the groups and go on; of the others each task keeps one row per
+    group before they are shuffled.
+    """
+    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("body"),
+                       F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), simhash(text).alias("print"))
+    thin = written(body.select("doc_id", "print"), "fingerprints")
+    groups = written(near_groups(thin, radius).where("members > 1").select("print", "root"), "fingerprints")
+    met = body.join(groups, "print", "left")
+    alone = met.where(F.col("root").isNull()).select("body")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
+    first = met.where(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("body", order).alias("body")).select("body")
+    return alone.unionByName(first).select("body.*")
