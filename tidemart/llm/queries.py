@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import exact_dedup, langid, mixing, packing, simhash
+from . import exact_dedup, langid, lm, mixing, packing, simhash
 from .common import learned, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "told.*")
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(tune(spark), sf_dir, "documents"), learned("doc_id", 7, 2))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(tune(spark), sf_dir, "documents"))
 
@@ -46,6 +50,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_lm, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
