@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, langid, lm, mixing, packing, simhash, substrings
+from . import exact_dedup, langid, lm, mixing, order_minhash, packing, simhash, substrings
 from .common import learned, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(tune(spark), sf_dir, "documents"), learned("doc_id", 7, 2))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_neighbours(table(tune(spark), sf_dir, "documents"))
+
+
 def substring_digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -59,6 +63,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_lm, op4_substrings, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
