@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, simhash, substrings
+from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, pii, simhash, substrings
 from .common import learned, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,13 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(tune(spark), sf_dir, "pages"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key comes from the session; without one a public test key makes runs comparable, but hides nothing."""
+    secret = spark.conf.get("spark.tidemart.pii.key", "public test key").encode()
+    found = pii.pseudonymise(table(tune(spark), sf_dir, "documents"), secret)
+    return found.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), "found")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(tune(spark), sf_dir, "documents"))
 
@@ -67,6 +74,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op5_html_text, op7_exact_dedup, op8_mixing, op9_packing, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op5_html_text, op6_pii, op7_exact_dedup, op8_mixing,
+    op9_packing, op10_simhash)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
