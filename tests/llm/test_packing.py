@@ -54,7 +54,8 @@ def test_query(spark):
 @pytest.mark.parametrize("parts", [1, 5, 130])
 def test_edges(spark, parts):
     docs = [(1, None), (2, ""), (3, "a" * 30000), (4, "a b " * 30000), (5, "x <|endoftext|> <|startoftext|>y it's"),
-            (None, "null id"), (6, "Ünïcode space 　 é İ ß Σς 12 3.5"), (7, "same"), (7, "same")]
+            (None, "null id"), (6, "Ünïcode space 　 é İ ß Σς 12 3.5"), (7, "same"), (7, "same"),
+            (8, "END. It's. 'S!! don't, a.b. 12. 3,5; é. É! ???. x<|. J̌. J̌x, #a# $5% &amp; --- a-b: (c). İ.")]
     docs += [(i, f"w{i} " * (i % 97)) for i in range(100, 500)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
     rows = packing.pack(df, queries.tokenizer_path(), window=256, most_open=4).collect()

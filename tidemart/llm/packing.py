@@ -29,6 +29,8 @@ OPEN_WINDOWS = 64
 FAN_IN = 64
 END_ID = 2
 CACHED_WORDS = 400_000
+CACHED_STEMS = 1_000_000
+TAIL = b".,!?;:*#%$&"
 BATCH_ROWS = 20_000
 
 SCHEMA = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -36,10 +38,11 @@ SCHEMA = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, word by word.
+    """Ids of texts by a tokenizer that drops white space, lower-cases, and cuts between letters and punctuation.
 
-    Such a tokenizer never joins across white space, so each word is encoded once and remembered. The memory is bounded:
-    a full one starts anew.
+    Such a tokenizer never joins across white space, so each word is encoded once and remembered; a word that ends in
+    a letter or digit and common punctuation is put together from the two, and an ASCII one is lower-cased first.
+    The memory is bounded: a full one starts anew.
     """
 
     def __init__(self, path: str):
@@ -48,47 +51,66 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = "<|startoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 1000):
-            some = [w for w in words[i:i + 1000]]
-            plain = [w for w in some if b"<|" not in w]
-            if plain:
-                text = self.mark.join(w.decode("utf-8", "replace") for w in plain)
-                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        self.words: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
+
+    def _encode(self, stems: list[bytes]) -> None:
+        """Several stems go into one call, with a special token between them that shows where each one ends."""
+        plain = [s for s in stems if b"<|" not in s]
+        groups = [plain[i:i + 6] for i in range(0, len(plain), 6)]
+        for i in range(0, len(groups), 2000):
+            some = groups[i:i + 2000]
+            texts = [self.mark.join([s.decode("utf-8", "replace") for s in group]) for group in some]
+            for group, found in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(found.ids, dtype="<u4")
                 ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
                 data, start = ids.tobytes(), 0
-                for word, end in zip(plain, ends, strict=True):
-                    self.known[word] = data[4 * start:4 * end]
+                for stem, end in zip(group, ends, strict=True):
+                    self.stems[stem] = data[4 * start:4 * end]
                     start = end + 1
-            for word in some:
-                if b"<|" in word:
-                    ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-                    self.known[word] = np.array(ids, dtype="<u4").tobytes()
+        for stem in stems:
+            if b"<|" in stem:
+                ids = self.tokenizer.encode(stem.decode("utf-8", "replace"), add_special_tokens=False).ids
+                self.stems[stem] = np.array(ids, dtype="<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remember the ids of words not known yet."""
+        if len(self.words) + len(words) > CACHED_WORDS:
+            self.words.clear()
+        if len(self.stems) > CACHED_STEMS:
+            self.stems = {b"": b""}
+        parts = []
+        for word in words:
+            stem = word.rstrip(TAIL)
+            if not stem[-1:].isalnum():
+                stem = word
+            parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem):]))
+        self._encode(list({s for _, stem, tail in parts for s in (stem, tail)}.difference(self.stems)))
+        stems = self.stems
+        self.words.update((word, stems[stem] + stems[tail]) for word, stem, tail in parts)
 
     def of(self, text: bytes) -> bytes:
         out = []
         for slab in slabs(text):
             words = slab.split()
-            missing = set(words).difference(self.known)
-            if missing:
-                if len(self.known) + len(missing) > CACHED_WORDS:
-                    self.known.clear()
-                    missing = set(words)
-                self.learn(list(missing))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+            try:
+                out.append(b"".join(map(self.words.__getitem__, words)))
+            except KeyError:
+                self.learn(set(words).difference(self.words))
+                out.append(b"".join([self.words.get(w) or self._one(w) for w in words]))
         return b"".join(out)
 
+    def _one(self, word: bytes) -> bytes:
+        if word not in self.words:
+            self.learn({word})
+        return self.words[word]
+
     def learn_batch(self, texts: Iterable[bytes]) -> None:
         """Encode the new words of many short texts at once."""
         missing: set[bytes] = set()
         for text in texts:
             missing.update(text.split())
-        missing.difference_update(self.known)
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-        self.learn(list(missing))
+        self.learn(missing.difference(self.words))
 
 
 class Packer:
