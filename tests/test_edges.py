@@ -38,8 +38,9 @@ def values(df, *columns):
 def test_dirty_lines(spark):
     lines = topic(spark, page("a", 1), '{"common":', "", None, "[1]", "12", '{"ts":"x"}')
     good, bad = logs.split_dirty(lines)
-    assert values(good, "common.mid", "ts") == [("a", 1)]
-    assert sorted(r.value for r in bad.collect()) == ["12", "[1]", '{"common":', '{"ts":"x"}']
+    # A value that does not fit its type is null; only what is no JSON object is dirty.
+    assert sorted(map(str, good.select("common.mid", "ts").collect())) == ["Row(mid='a', ts=1)", "Row(mid=None, ts=None)"]
+    assert sorted(r.value for r in bad.collect()) == ["12", "[1]", '{"common":']
     assert readers.drop_tombstones(lines).count() == 5
 
 
@@ -114,7 +115,7 @@ def test_split_log(spark):
         {"common": common, "appVideo": {"play_sec": 3, "video_id": "v"}, "page": {"page_id": "p"}, "displays": shown, "ts": 3},
         {"common": common, "page": {"page_id": "home"}, "ts": 4},
     ]
-    out = splitting.split_log(logs.split_dirty(topic(spark, *records))[0])
+    out = splitting.split_log(topic(spark, *records))
     got = sorted((r.topic, json.loads(r.value).get("ts"), r.value) for r in out.collect())
     topics = [(t, ts) for t, ts, _ in got]
     assert topics.count((fixed.LOG_ERR, 1)) == topics.count((fixed.LOG_ERR, 2)) == 1
@@ -355,3 +356,33 @@ def test_json_round_trip(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert df.select(jsontext.record(["a", "b"])).first()[0] == '{"a":1}'
     assert filters.filter_required_keys(df, "b").count() == 0
+
+
+# Records that do not fit their schema ---------------------------------------------------------------
+
+def test_values_of_another_type_take_nothing_with_them(spark):
+    lines = topic(spark, '{"common":{"mid":"a","uid":7},"page":{"during_time":"12"},"ts":"17"}',
+                  '{"common":"text","page":{"page_id":"p","during_time":[1]},"ts":5}', '{"common":{"mid":"b"},"ts":{"x":1}}')
+    rows = logs.read_page_log(lines).select("common.mid", "common.uid", "page.page_id", "page.during_time", "ts").collect()
+    assert sorted(map(tuple, rows), key=str) == [("a", "7", None, 12, 17), ("b", None, None, None, None), (None, None, "p", None, 5)]
+    assert logs.split_dirty(lines)[1].count() == 0
+    change = cdc.read_cdc_envelope(topic(spark, envelope(ts="1736155411"), envelope(xid="no number"))).collect()
+    assert [r.ts for r in change] == [1736155411, 1736155411] and all(r.event_time for r in change)
+
+
+def test_split_log_keeps_unknown_fields(spark):
+    record = {"common": {"mid": "m", "is_new": "1", "net": "5g"}, "page": {"page_id": "p", "refer": "x"}, "trace": [1, {"a": 2}],
+              "displays": [{"item": "1", "cost": 1.5}], "actions": [{"a": "b"}], "err": {"code": 1}, "ts": 9}
+    lines = topic(spark, record, {"page": {"page_id": "q"}}, {"common": None, "start": None, "ts": 3}).withColumn(
+        "is_new", F.when(F.col("value").contains("5g"), "0"))
+    got = [(r.topic, json.loads(r.value)) for r in splitting.split_log(lines).collect() if "5g" in r.value]
+    common = {"mid": "m", "is_new": "0", "net": "5g"}
+    shown, ts = record["page"], 9
+    assert dict(got) == {
+        fixed.LOG_ERR: {**record, "common": common}, fixed.LOG_PAGE: {"common": common, "page": shown, "trace": record["trace"], "ts": ts},
+        fixed.LOG_DISPLAY: {"display": {"item": "1", "cost": 1.5}, "common": common, "page": shown, "ts": ts},
+        fixed.LOG_ACTION: {"action": {"a": "b"}, "common": common, "page": shown}}
+    rest = [json.loads(r.value) for r in splitting.split_log(lines).collect() if "5g" not in r.value]
+    assert {"page": {"page_id": "q"}} in rest and len(rest) == 2
+    dirty = splitting.split_log(topic(spark, "[1]", '{"a":', page("a", 1)), dirty=True).collect()
+    assert sorted(r.topic for r in dirty) == [fixed.LOG_DIRTY, fixed.LOG_DIRTY, fixed.LOG_PAGE]

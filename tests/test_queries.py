@@ -21,14 +21,7 @@ def test_query_equals_sql(spark, con, key):
 
 
 def test_queries_without_sql_are_known():
-    assert sorted(set(QUERIES) - set(SQL)) == ["fn_row_time"]
-    assert set(SQL) <= set(QUERIES)
-
-
-def test_row_time_is_now(spark):
-    rows = QUERIES["fn_row_time"](spark, SF)
-    assert rows.where("abs(unix_millis(row_op_ts) - now_ms) > 1000").count() == 0
-    assert rows.count() == 1000
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

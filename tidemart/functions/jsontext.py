@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BAD = "_bad"
 
@@ -16,10 +16,38 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same shape with text at the leaves."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return kind if isinstance(kind, T.MapType) else T.StringType()
+
+
 def parse(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
-    """Parse JSON text into struct column `rec`; bad text lands in rec._bad, the rest stays null."""
-    parsed = F.from_json(F.col(value), f"{schema}, {BAD} string", {"columnNameOfCorruptRecord": BAD})
-    return df.select("*", once(parsed).alias("rec"))
+    """Parse JSON text into struct column `rec`; what is no JSON object lands in rec._bad, the rest stays null.
+
+    Values are read as text and cast one by one: one that does not fit its type is null and takes nothing with it.
+    """
+    typed = T.StructType.fromDDL(schema)
+    wide = T.StructType([*_as_text(typed).fields, T.StructField(BAD, T.StringType())])
+    raw = df.select("*", once(F.from_json(F.col(value), wide, {"columnNameOfCorruptRecord": BAD})).alias("_raw"))
+    # A value of another shape marks the record as corrupt too; such records are looked at a second time.
+    misfit = F.col(f"_raw.{BAD}")
+    bad = F.when(misfit.isNotNull() & ~is_object(misfit), misfit)
+    fields = [F.col("_raw")[f.name].try_cast(f.dataType).alias(f.name) for f in typed.fields]
+    rec = F.when(F.col("_raw").isNotNull(), F.struct(*fields, bad.alias(BAD)))
+    return raw.withColumn("rec", rec).drop("_raw")
+
+
+def members(text: Column) -> Column:
+    """The members of a JSON object with their values as they are, null if the text is none."""
+    return F.try_parse_json(text).try_cast("map<string,variant>")
+
+
+def is_object(text: Column) -> Column:
+    return members(text).isNotNull()
 
 
 def is_bad() -> Column:

@@ -22,5 +22,10 @@ def indicator(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+# Sums of amounts have all the digits a decimal can have: a total does not overflow with the number of rows.
+SUM = "decimal(38,2)"
+
+
 def money(amount: Column) -> Column:
-    return amount.cast("decimal(18,2)")
+    """An amount of two decimals; a text or number that is none is null."""
+    return amount.try_cast("decimal(18,2)")

@@ -7,6 +7,7 @@ window would send every row of that key to one task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -58,13 +59,15 @@ def flag_daily_first(df: DataFrame, keys: Sequence[str], flag: str, order: Seque
                      unit: str = "ms") -> DataFrame:
     """All rows, with 1 in `flag` on the first one per key and day and 0 on the others.
 
-    `order` must tell rows of a key apart. The flagged rows come back by a join on key and order
-    together: those values are nearly unique, so no join partition grows with a hot key.
+    `order` must tell rows of a key apart. Null keys are keys like others. The flagged rows come back by a join on key
+    and order together: those values are nearly unique, so no join partition grows with a hot key.
     """
     keyed = _with_day(df, order[0], unit)
     first = keyed.groupBy(*keys, DAY).agg(F.min(F.struct(*order)).alias("_first"))
-    marks = first.select(*keys, "_first.*", F.lit(1).alias(flag))
-    return df.join(marks, [*keys, *order], "left").fillna(0, [flag]).select(*df.columns, flag)
+    names = [*keys, *order]
+    marks = first.select(*keys, "_first.*").select(*[F.col(c).alias(f"_{c}") for c in names], F.lit(1).alias(flag))
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
+    return df.join(marks, same, "left").select(*df.columns, F.coalesce(flag, F.lit(0)).alias(flag))
 
 
 def _with_day(df: DataFrame, ts: str, unit: str) -> DataFrame:

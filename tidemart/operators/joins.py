@@ -8,6 +8,8 @@ of identical rows, and copies the one matching row to each part.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from .firsts import join_side, latest_per
@@ -17,10 +19,10 @@ PAID_COLUMNS = ("course_id", "course_name", "user_id", "origin_amount", "coupon_
                 "session_id", "province_id", "source_id")
 
 
-def join_detail_order(detail: DataFrame, info: DataFrame) -> DataFrame:
+def join_detail_order(detail: DataFrame, info: DataFrame, columns: Sequence[str] = ORDER_COLUMNS) -> DataFrame:
     """Order lines with their order's columns; lines without an order drop out."""
-    order = info.select(F.col("id").alias("order_id"), *ORDER_COLUMNS)
-    return detail.join(order, ["order_id"]).select(*detail.columns, *ORDER_COLUMNS)
+    order = info.select(F.col("id").alias("order_id"), *columns)
+    return detail.join(order, ["order_id"]).select(*detail.columns, *columns)
 
 
 def join_order_source(orders: DataFrame, order_log: DataFrame) -> DataFrame:
@@ -29,30 +31,43 @@ def join_order_source(orders: DataFrame, order_log: DataFrame) -> DataFrame:
     return orders.join(last, ["session_id"], "left").select(*orders.columns, "source_id")
 
 
-def order_detail_fact(detail: DataFrame, info: DataFrame, order_log: DataFrame) -> DataFrame:
-    """The order detail table: one row per line id, the last one received."""
-    return join_order_source(join_detail_order(latest_per(detail, ["id"], ["ts"]), info), order_log)
+def order_detail_fact(detail: DataFrame, info: DataFrame, order_log: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """The order detail table: one row per line id, the last one received.
+
+    `columns` names those that are needed. The last row carries its columns through the shuffle, which no later selection
+    can undo, so the rest is left out here, and so is a join that would add nothing.
+    """
+    if not columns:
+        return join_order_source(join_detail_order(latest_per(detail, ["id"], ["ts"]), info), order_log)
+    detail = detail.select(*[c for c in detail.columns if c in columns or c in ("id", "order_id", "ts")])
+    wanted = [c for c in ORDER_COLUMNS if c in columns or c == "session_id" and "source_id" in columns]
+    facts = join_detail_order(latest_per(detail, ["id"], ["ts"]), info, wanted)
+    return (join_order_source(facts, order_log) if "source_id" in columns else facts).select(*columns)
 
 
-def join_payment_detail(payments: DataFrame, detail: DataFrame) -> DataFrame:
+def join_payment_detail(payments: DataFrame, detail: DataFrame, order_ids: DataFrame | None = None) -> DataFrame:
     """Payments with every line of their order; payments without lines stay.
 
     The many rows per key are on the right here, where an outer join cannot be cut. So matches come from
-    an inner join, which can, and the payments without lines are added.
+    an inner join, which can, and the payments without lines are added. `detail` is used twice.
     """
     lines = detail.select("order_id", *PAID_COLUMNS)
     columns = [*[c for c in payments.columns if c != "ts"], *PAID_COLUMNS, "ts"]
     matched = lines.join(payments, ["order_id"]).select(*columns)
-    paid_orders = detail.select(F.col("order_id").alias("_order_id")).distinct()
+    # `order_ids` may name the orders that have lines by a shorter way than the fact.
+    paid_orders = (detail if order_ids is None else order_ids).select(F.col("order_id").alias("_order_id")).distinct()
     unmatched = payments.join(paid_orders, F.col("order_id") == F.col("_order_id"), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def payment_fact(payments: DataFrame, detail: DataFrame) -> DataFrame:
-    """The payment table: one row per payment id, with the last line of its order."""
-    last_line = join_side(detail.select("order_id", "ts", "id", *PAID_COLUMNS), "order_id", ["ts", "id"])
+def payment_fact(payments: DataFrame, detail: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """The payment table: one row per payment id, with the last line of its order. `columns`: as in order_detail_fact."""
+    paid = [c for c in PAID_COLUMNS if not columns or c in columns]
+    if columns:
+        payments = payments.select(*[c for c in payments.columns if c in columns or c in ("id", "order_id", "ts")])
+    last_line = join_side(detail.select("order_id", "ts", "id", *paid), "order_id", ["ts", "id"])
     joined = latest_per(payments, ["id"], ["ts"]).join(last_line.drop("ts", "id"), ["order_id"], "left")
-    return joined.select(*[c for c in payments.columns if c != "ts"], *PAID_COLUMNS, "ts")
+    return joined.select(*(columns or [*[c for c in payments.columns if c != "ts"], *paid, "ts"]))
 
 
 def join_register_dim(registers: DataFrame, dim_log: DataFrame, now: bool = True) -> DataFrame:

@@ -97,9 +97,9 @@ def page_view(pages: DataFrame, keys: Sequence[str] = ("mid", "page_id"), size:
 def chapter_play(plays: DataFrame, video: DataFrame, chapter: DataFrame, user_key: Sequence[str] = ("user_id", "video_id"),
                  size: str = fixed.METRIC_WINDOW) -> DataFrame:
     """Plays, seconds and daily-unique users per chapter (by video). user_key=('user_id',) counts a
-    user under one video a day."""
+    user under one video a day. A play without user counts as a play, not as a user."""
     played = _rows(plays, "ms", {"video_id": "video_id"}, {"play_count": F.lit(1), "play_total_sec": F.col("play_sec")})
-    watched = plays.select("user_id", "video_id", "ts")
+    watched = filters.filter_required_keys(plays.select("user_id", "video_id", "ts"), "user_id")
     if "video_id" in user_key:
         first = firsts.daily_first_time(watched, list(user_key))
     else:
@@ -128,8 +128,9 @@ def cart_add(carts: DataFrame, size: str = fixed.METRIC_WINDOW) -> DataFrame:
 
 
 def order_users(orders: DataFrame, size: str = fixed.METRIC_WINDOW) -> DataFrame:
-    """Ordering users per day, and users with their first order of all."""
-    rows = timefmt.with_event_time(visitors.user_daily_new(orders), "s").withColumnsRenamed(
+    """Ordering users per day, and users with their first order of all; orders without user drop out."""
+    known = filters.filter_required_keys(orders, "user_id")
+    rows = timefmt.with_event_time(visitors.user_daily_new(known), "s").withColumnsRenamed(
         {"uv_count": "order_uv_count", "new_count": "new_order_user_count"})
     return windowed_metric(rows, [], ["order_uv_count", "new_order_user_count"], size)
 
@@ -146,11 +147,11 @@ def course_orders(orders: DataFrame, course: DataFrame, subject: DataFrame, cate
                   size: str = fixed.METRIC_WINDOW) -> DataFrame:
     """Order amount per course with its subject and category."""
     rows = _rows(orders, "s", {"course_id": "course_id"}, {"order_total_amount": measures.money(F.col("final_amount"))})
-    summed = windowed_metric(rows, ["course_id"], {"order_total_amount": "decimal(18,2)"}, size)
+    summed = windowed_metric(rows, ["course_id"], {"order_total_amount": measures.SUM}, size)
     return dims.dim_snowflake_3(summed, course, subject, category)
 
 
-ORDER_GROUP_MEASURES = {"order_total_amount": "decimal(18,2)", "order_uu_count": "bigint", "order_count": "bigint"}
+ORDER_GROUP_MEASURES = {"order_total_amount": measures.SUM, "order_uu_count": "bigint", "order_count": "bigint"}
 
 
 def order_group_rows(orders: DataFrame, group: str, size: str) -> DataFrame:
@@ -158,29 +159,25 @@ def order_group_rows(orders: DataFrame, group: str, size: str) -> DataFrame:
 
     The three counts need three groupings. Each line takes part in all of them as one row each, so
     the lines, often the outcome of joins, are computed once and grouped in one shuffle, after a
-    partial aggregation.
+    partial aggregation. Province and source belong to the order, so an order is in one group; with the
+    group in the key, sums and least times are fixed-width values that a hash aggregate holds.
     """
     lines = timefmt.with_event_time(filters.filter_required_keys(orders, "user_id", group), "s")
     day = F.to_date("event_time").cast("timestamp")
-    amount = measures.money(F.col("final_amount"))
-    none, at = F.lit(None), F.struct("ts", "id", group)
+    none = F.lit(None)
 
-    def share(kind: str, a, b, slot, part=none, first=none):
-        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.cast("string").alias("b"), slot.alias("slot"),
-                        part.cast("decimal(18,2)").alias("amount"),
-                        first.cast(lines.select(at.alias("f")).schema["f"].dataType).alias("first"))
+    def share(kind: str, owner, slot, amount=none):
+        return F.struct(F.lit(kind).alias("kind"), owner.cast("string").alias("owner"), F.col(group).alias(group),
+                        slot.alias("slot"), amount.cast("decimal(18,2)").alias("amount"), F.col("ts").alias("ts"))
 
     shares = lines.select(F.inline(F.array(
-        share("amount", F.col(group), none, F.window("event_time", size)["start"], part=amount),
-        # An order counts under the group of its first line of the day.
-        share("order", F.col("order_id"), none, day, first=at),
-        share("user", F.col("user_id"), F.col(group), day, first=at))))
-    grouped = shares.groupBy("kind", "a", "b", "slot").agg(
-        F.sum("amount").alias("order_total_amount"), F.min("first").alias("first"))
+        share("amount", none, F.window("event_time", size)["start"], measures.money(F.col("final_amount"))),
+        share("order", F.col("order_id"), day), share("user", F.col("user_id"), day))))
+    grouped = shares.groupBy("kind", "owner", group, "slot").agg(
+        F.sum("amount").alias("order_total_amount"), F.min("ts").alias("ts"))
     is_kind = {k: F.col("kind") == k for k in ("amount", "order", "user")}
     return grouped.select(
-        F.when(is_kind["amount"], F.col("slot")).otherwise(F.timestamp_seconds("first.ts")).alias("event_time"),
-        F.when(is_kind["amount"], F.col("a")).otherwise(F.col(f"first.{group}")).alias(group),
+        F.when(is_kind["amount"], F.col("slot")).otherwise(F.timestamp_seconds("ts")).alias("event_time"), group,
         F.coalesce("order_total_amount", F.lit(0)).alias("order_total_amount"),
         measures.indicator(is_kind["order"]).alias("order_count"), measures.indicator(is_kind["user"]).alias("order_uu_count"))
 

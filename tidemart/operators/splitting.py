@@ -1,4 +1,9 @@
-"""One log stream into error, start, play, display, action and page streams."""
+"""One log stream into error, start, play, display, action and page streams.
+
+Input: log lines as JSON text in column `value`; other columns go along. Each line is parsed once, into its members. They are
+written to the outputs as they came, with all their fields, known or not. An `is_new` column, if there is one, replaces the
+field of that name in `common`. Lines that are no JSON object give no rows here (see logs.split_dirty).
+"""
 
 from __future__ import annotations
 
@@ -7,69 +12,108 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed
 from ..functions import jsontext
 
+REC, COMMON = "_rec", "_common"
+
+
+def _opened(lines: DataFrame, broken: bool = False) -> DataFrame:
+    """Lines with their members, and the text of common with the corrected is_new; broken lines too if asked for."""
+    rows = lines.select("*", jsontext.once(jsontext.members(F.col("value"))).alias(REC))
+    rows = rows if broken else rows.where(F.col(REC).isNotNull())
+    common = F.to_json(F.col(REC)["common"])
+    if "is_new" in lines.columns:
+        fields = F.col(REC)["common"].try_cast("map<string,variant>")
+        # The value takes the place of the old one; texts need no escape here, they are 0 or 1.
+        new = F.map_from_arrays(F.array(F.lit("is_new")), F.array(F.parse_json(F.concat(F.lit('"'), F.col("is_new"), F.lit('"')))))
+        changed = F.col("is_new").isNotNull() & (F.col("is_new") != F.coalesce(fields["is_new"].try_cast("string"), F.lit("")))
+        common = F.when(changed, F.to_json(F.map_concat(F.map_filter(fields, lambda k, v: k != "is_new"), new))).otherwise(common)
+    return rows.select("*", jsontext.once(common).alias(COMMON))
+
+
+def _has(name: str) -> Column:
+    member = F.col(REC)[name]
+    return member.isNotNull() & ~F.is_variant_null(member)
+
 
 def has_error() -> Column:
-    return F.col("err").isNotNull()
+    return _has("err")
 
 
 def is_start() -> Column:
-    return F.col("start").isNotNull()
+    return _has("start")
 
 
 def is_video() -> Column:
-    return F.col("start").isNull() & F.col("appVideo").isNotNull()
+    return ~_has("start") & _has("appVideo")
 
 
 def is_page() -> Column:
-    return F.col("start").isNull() & F.col("appVideo").isNull()
+    return ~_has("start") & ~_has("appVideo")
 
 
-def explode_displays(logs: DataFrame) -> DataFrame:
-    """One row per display of a page record, with common, page and ts."""
-    return logs.where(is_page()).select(F.explode("displays").alias("display"), "common", "page", "ts")
+def _without(*names: str) -> Column:
+    """The record as text without some of its members."""
+    rest = F.to_json(F.map_filter(REC, lambda name, value: ~name.isin("common", *names)))
+    rest = F.substr(rest, F.lit(2))
+    whole = F.concat(F.lit('{"common":'), F.col(COMMON), F.when(rest == "}", rest).otherwise(F.concat(F.lit(","), rest)))
+    return F.coalesce(whole, F.concat(F.lit("{"), rest))
 
 
-def explode_actions(logs: DataFrame) -> DataFrame:
-    """One row per action of a page record, with common and page."""
-    return logs.where(is_page()).select(F.explode("actions").alias("action"), "common", "page")
+def _items(name: str, field: str, *others: str) -> Column:
+    """Per element of an array member: the element as `field`, common, and other members."""
+    tail = F.concat(F.coalesce(F.concat(F.lit(',"common":'), F.col(COMMON)), F.lit("")),
+                    *[F.when(_has(o), F.concat(F.lit(f',"{o}":'), F.to_json(F.col(REC)[o]))).otherwise("") for o in others],
+                    F.lit("}"))
+    return F.transform(F.col(REC)[name].try_cast("array<variant>"),
+                       lambda item: F.concat(F.lit(f'{{"{field}":'), F.to_json(item), tail))
 
 
-def page_only(logs: DataFrame) -> DataFrame:
-    """Page records without displays, actions and error."""
-    return logs.where(is_page()).drop("displays", "actions", "err", "start", "appVideo")
+DISPLAYS = ("displays", "display", "page", "ts")
+ACTIONS = ("actions", "action", "page")
+PAGE_DROPS = ("displays", "actions", "err")
+
 
+def _rest(lines: DataFrame) -> list[str]:
+    return [c for c in lines.columns if c not in ("value", "is_new")]
 
-def _raw(column: str) -> Column:
-    # start and err arrive as raw JSON; as a variant they are written back as JSON, not as quoted text.
-    return F.try_parse_json(column).alias(column)
 
+def explode_displays(lines: DataFrame) -> DataFrame:
+    """One record per display of a page record, with common, page and ts."""
+    return _opened(lines).where(is_page()).select(*_rest(lines), F.explode(_items(*DISPLAYS)).alias("value"))
 
-def split_log(logs: DataFrame) -> DataFrame:
+
+def explode_actions(lines: DataFrame) -> DataFrame:
+    """One record per action of a page record, with common and page."""
+    return _opened(lines).where(is_page()).select(*_rest(lines), F.explode(_items(*ACTIONS)).alias("value"))
+
+
+def page_only(lines: DataFrame) -> DataFrame:
+    """Page records without displays, actions and error."""
+    return _opened(lines).where(is_page()).select(*_rest(lines), _without(*PAGE_DROPS).alias("value"))
+
+
+def split_log(lines: DataFrame, dirty: bool = False) -> DataFrame:
     """(topic, value): every output of every record in one pass over the input.
 
     A record with an error goes out whole to the error topic and goes on without it, to exactly
-    one of start, play and page; a page also gives one row per display and action.
+    one of start, play and page; a page also gives one row per display and action. With `dirty`, lines that are no JSON
+    object go to the dirty topic.
     """
-    without_error = ["common", "page", "displays", "actions", _raw("start"), "appVideo", "ts"]
-    whole = [*without_error, _raw("err")]
-
-    def one(condition: Column, topic: str, *columns) -> Column:
-        return F.when(condition, F.array(F.struct(F.lit(topic).alias("topic"), jsontext.record(columns).alias("value"))))
+    def one(condition: Column, topic: str, value: Column) -> Column:
+        return F.when(condition, F.array(F.struct(F.lit(topic).alias("topic"), value.alias("value"))))
 
-    def many(array: str, topic: str, field: str, *columns: str) -> Column:
-        rows = F.transform(array, lambda item: F.struct(
-            F.lit(topic).alias("topic"), jsontext.record([item.alias(field), *columns]).alias("value")))
-        return F.when(is_page(), rows)
+    def many(topic: str, items: Column) -> Column:
+        return F.when(is_page(), F.transform(items, lambda value: F.struct(F.lit(topic).alias("topic"), value.alias("value"))))
 
+    rows, broken = _opened(lines, dirty), F.col(REC).isNull()
     outputs = [
-        one(has_error(), fixed.LOG_ERR, *whole),
-        one(is_start(), fixed.LOG_START, *without_error),
-        one(is_video(), fixed.LOG_VIDEO, *without_error),
-        one(is_page(), fixed.LOG_PAGE, "common", "page", "ts"),
-        many("displays", fixed.LOG_DISPLAY, "display", "common", "page", "ts"),
-        many("actions", fixed.LOG_ACTION, "action", "common", "page"),
+        one(broken, fixed.LOG_DIRTY, F.col("value")),
+        one(~broken & has_error(), fixed.LOG_ERR, _without()),
+        one(~broken & is_start(), fixed.LOG_START, _without("err")),
+        one(~broken & is_video(), fixed.LOG_VIDEO, _without("err")),
+        one(~broken & is_page(), fixed.LOG_PAGE, _without(*PAGE_DROPS)),
+        many(fixed.LOG_DISPLAY, _items(*DISPLAYS)),
+        many(fixed.LOG_ACTION, _items(*ACTIONS)),
     ]
     none = F.array().cast("array<struct<topic:string,value:string>>")
     out = F.concat(*[F.coalesce(o, none) for o in outputs])
-    rest = [c for c in logs.columns if c not in ("common", "page", "displays", "actions", "start", "err", "appVideo", "ts")]
-    return logs.select(*rest, F.inline(out))
+    return rows.select(*_rest(lines), F.inline(out))

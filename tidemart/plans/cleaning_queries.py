@@ -217,12 +217,13 @@ def extract_dim_log(spark, sf):
 
 
 # P13 to P16 -----------------------------------------------------------------------------------------
-def _clean(spark, sf):
-    return logs.clean_log(logs.parse_log(inputs.log_topic(spark, sf)))
+SPLIT_FIELDS = """common struct<mid:string,net:string>, ts bigint, page struct<page_id:string,during_time:bigint>,
+  err struct<code:string>, start struct<entry:string>, appVideo struct<video_id:string>,
+  display struct<display_type:string,item:string,pos_id:int>, action struct<action_id:string,item:string>, trace struct<id:string>"""
 
 
-SPLIT_FIELDS = """common struct<mid:string>, ts bigint, page struct<page_id:string>, err struct<code:string>,
-  start struct<entry:string>, appVideo struct<video_id:string>, display struct<item:string>, action struct<action_id:string>"""
+def _records(lines):
+    return jsontext.parse(lines, SPLIT_FIELDS)
 
 
 @query("split_log", with_inputs("logs", """
@@ -241,34 +242,47 @@ SPLIT_FIELDS = """common struct<mid:string>, ts bigint, page struct<page_id:stri
   UNION ALL SELECT event_id, 'dwd_traffic_action', mid, NULL, page_id, NULL, NULL, NULL, NULL, 'pay'
     FROM logs WHERE has_actions"""))
 def split_log(spark, sf):
-    out = splitting.split_log(_clean(spark, sf))
-    rows = jsontext.parse(out, SPLIT_FIELDS)
+    rows = _records(splitting.split_log(inputs.log_topic(spark, sf)))
     return rows.select(
         "event_id", "topic", "rec.common.mid", "rec.ts", "rec.page.page_id", F.col("rec.err.code").alias("err_code"),
         F.col("rec.start.entry").alias("start_entry"), "rec.appVideo.video_id", F.col("rec.display.item").alias("shown"),
         F.col("rec.action.action_id").alias("action"))
 
 
+@query("split_log_unknown_fields", with_inputs("logs", """
+  SELECT event_id, topic, net, trace_id FROM (
+    SELECT *, CASE WHEN odd THEN '5g' END AS net, CASE WHEN odd THEN 't' || k END AS trace_id
+    FROM (SELECT *, event_id % 5 = 0 AS odd FROM logs))
+  CROSS JOIN (VALUES ('dwd_traffic_err'), ('dwd_traffic_start'), ('dwd_traffic_appvideo'), ('dwd_traffic_page')) t(topic)
+  WHERE CASE topic WHEN 'dwd_traffic_err' THEN has_err WHEN 'dwd_traffic_start' THEN is_start
+             WHEN 'dwd_traffic_appvideo' THEN is_video ELSE on_page END"""))
+def split_log_unknown_fields(spark, sf):
+    """Fields that no schema names reach the outputs."""
+    rows = _records(splitting.split_log(inputs.log_topic(spark, sf)))
+    return rows.where(F.col("rec.display").isNull() & F.col("rec.action").isNull()).select(
+        "event_id", "topic", "rec.common.net", F.col("rec.trace.id").alias("trace_id"))
+
+
 @query("explode_displays", with_inputs("logs", """
   SELECT mid, page_id, ts, 'query' AS display_type, CAST(pos_id AS VARCHAR) AS item, CAST(pos_id AS INTEGER) AS pos_id
   FROM (SELECT *, unnest(generate_series(1, k % 4)) AS pos_id FROM logs WHERE has_displays)"""))
 def explode_displays(spark, sf):
-    rows = splitting.explode_displays(_clean(spark, sf))
-    return rows.select("common.mid", "page.page_id", "ts", "display.display_type", "display.item", "display.pos_id")
+    rows = _records(splitting.explode_displays(inputs.log_topic(spark, sf)))
+    return rows.select("rec.common.mid", "rec.page.page_id", "rec.ts", "rec.display.display_type", "rec.display.item",
+                       "rec.display.pos_id")
 
 
 @query("explode_actions", with_inputs("logs", """
   SELECT mid, page_id, 'pay' AS action_id, CAST(k AS VARCHAR) AS item FROM logs WHERE has_actions"""))
 def explode_actions(spark, sf):
-    rows = splitting.explode_actions(_clean(spark, sf))
-    return rows.select("common.mid", "page.page_id", F.col("action")["action_id"].alias("action_id"),
-                       F.col("action")["item"].alias("item"))
+    rows = _records(splitting.explode_actions(inputs.log_topic(spark, sf)))
+    return rows.select("rec.common.mid", "rec.page.page_id", "rec.action.action_id", "rec.action.item")
 
 
 @query("page_only", with_inputs("logs", "SELECT event_id, mid, page_id, during_time, ts FROM logs WHERE on_page"))
 def page_only(spark, sf):
-    rows = splitting.page_only(_clean(spark, sf))
-    return rows.select("event_id", "common.mid", "page.page_id", "page.during_time", "ts")
+    rows = _records(splitting.page_only(inputs.log_topic(spark, sf)))
+    return rows.select("event_id", "rec.common.mid", "rec.page.page_id", "rec.page.during_time", "rec.ts")
 
 
 # P17 to P24 -----------------------------------------------------------------------------------------

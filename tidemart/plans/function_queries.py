@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
-from ..functions import jsontext, names, timefmt
+from ..functions import jsontext, measures, names, timefmt
 from . import inputs
 from .inputs_sql import with_inputs
 from .registry import query
@@ -62,11 +64,19 @@ def fn_sql_time(spark, sf):
         "unix_timestamp(timestamp_seconds(ts_s)) as back_s")
 
 
-@query("fn_row_time")
+@query("fn_row_time", """
+  SELECT event_id, TRUE AS is_now, TRUE AS one_time, TRUE AS same_millis FROM events""")
 def fn_row_time(spark, sf):
-    """F8: run time per row; it has no fixed value, so no SQL."""
-    return inputs.events(spark, sf).select(
+    """F8: the run time per row. Its value is not fixed, but what holds of it is: it lies between the call and an hour
+    later, all rows share it, and both of its forms agree."""
+    called = int(time.time() * 1000)
+    rows = inputs.events(spark, sf).select(
         "event_id", F.current_timestamp().alias("row_op_ts"), F.unix_millis(F.current_timestamp()).alias("now_ms"))
+    ends = rows.agg(F.min("row_op_ts").alias("least"), F.max("row_op_ts").alias("most"))
+    return rows.join(ends, F.col("row_op_ts") == F.col("least"), "left").select(
+        "event_id", F.col("now_ms").between(called, called + 3_600_000).alias("is_now"),
+        F.coalesce(F.col("least") == F.col("most"), F.lit(False)).alias("one_time"),
+        (F.unix_millis("row_op_ts") == F.col("now_ms")).alias("same_millis"))
 
 
 @query("fn_text_parts", """
@@ -83,13 +93,13 @@ def fn_text_parts(spark, sf):
 
 
 @query("fn_decimal", """
-  SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount,
+  SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount,
          count(*) AS n FROM lineitem GROUP BY l_returnflag""")
 def fn_decimal(spark, sf):
     """exact sums of decimal amounts."""
     amount = inputs.cents("l_extendedprice") + inputs.cents("l_tax")
     return inputs.table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
-        F.sum(amount).cast("decimal(18,2)").alias("amount"), F.count("*").alias("n"))
+        F.sum(amount).cast(measures.SUM).alias("amount"), F.count("*").alias("n"))
 
 
 @query("fn_names", "SELECT c_custkey AS cust_key, c_mktsegment AS market_segment FROM customer")

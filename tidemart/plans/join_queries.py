@@ -35,7 +35,9 @@ def dwd_trade_order_detail(spark, sf):
          d.province_id, d.source_id
   FROM payments p LEFT JOIN orders_fact d ON p.order_id = d.order_id"""))
 def join_payment_detail(spark, sf):
-    return joins.join_payment_detail(inputs.payments(spark, sf), inputs.orders_fact(spark, sf))
+    return joins.join_payment_detail(
+        inputs.payments(spark, sf), inputs.orders_fact(spark, sf, "order_id", *joins.PAID_COLUMNS),
+        inputs.orders_fact(spark, sf, "order_id"))
 
 
 @query("dwd_trade_pay_sus_detail", with_inputs("payments_fact", "SELECT * FROM payments_fact"))

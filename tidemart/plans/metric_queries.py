@@ -124,7 +124,8 @@ each_size(
     lambda ms: metric_sql(
         "videos dim_video dim_chapter",
         """SELECT ts, video_id, 1 AS play_count, play_sec AS play_total_sec, 0 AS play_uu_count FROM videos
-           UNION ALL SELECT min(ts), video_id, 0, 0, 1 FROM videos GROUP BY uid, video_id, ts // 86400000""",
+           UNION ALL SELECT min(ts), video_id, 0, 0, 1 FROM videos WHERE uid IS NOT NULL
+           GROUP BY uid, video_id, ts // 86400000""",
         "video_id", big("play_count", "play_total_sec", "play_uu_count"), ms, cur_date=False,
         columns="m.video_id, v.chapter_id, c.chapter_name",
         dims="LEFT JOIN dim_video v ON m.video_id = v.id LEFT JOIN dim_chapter c ON v.chapter_id = c.id"),
@@ -163,13 +164,13 @@ def users_sql(source: str, uv: str, new: str, size_ms: int, keep: str = "TRUE")
 
 each_size(
     "dws_order_users",
-    lambda ms: users_sql("orders_fact", "order_uv_count", "new_order_user_count", ms),
-    lambda spark, sf, size: metrics.order_users(inputs.orders_fact(spark, sf), size))
+    lambda ms: users_sql("orders_fact", "order_uv_count", "new_order_user_count", ms, "user_id IS NOT NULL"),
+    lambda spark, sf, size: metrics.order_users(inputs.orders_fact(spark, sf, "user_id", "ts"), size))
 
 each_size(
     "dws_pay_users",
     lambda ms: users_sql("payments_fact", "pay_suc_uv_count", "pay_suc_new_user_count", ms, "user_id IS NOT NULL"),
-    lambda spark, sf, size: metrics.pay_users(inputs.payments_fact(spark, sf), size))
+    lambda spark, sf, size: metrics.pay_users(inputs.payments_fact(spark, sf, "user_id", "ts"), size))
 
 
 # A10 to A12 -----------------------------------------------------------------------------------------
@@ -178,15 +179,18 @@ each_size(
     lambda ms: metric_sql(
         "orders_fact dim_course dim_subject dim_category",
         "SELECT ts, course_id, final_amount AS order_total_amount FROM orders_fact", "course_id",
-        {"order_total_amount": "DECIMAL(18,2)"}, ms, unit="s",
+        {"order_total_amount": "DECIMAL(38,2)"}, ms, unit="s",
         columns="m.course_id, c.course_name, c.subject_id, s.subject_name, s.category_id, g.category_name",
         dims="""LEFT JOIN dim_course c ON m.course_id = c.id LEFT JOIN dim_subject s ON c.subject_id = s.id
                 LEFT JOIN dim_category g ON s.category_id = g.id"""),
     lambda spark, sf, size: metrics.course_orders(
-        inputs.orders_fact(spark, sf), inputs.dim_course(spark, sf), inputs.dim_subject(spark, sf),
+        inputs.orders_fact(spark, sf, "course_id", "final_amount", "ts"), inputs.dim_course(spark, sf), inputs.dim_subject(spark, sf),
         inputs.dim_category(spark, sf), size))
 
 
+GROUPED = ("order_id", "user_id", "final_amount", "ts")
+
+
 def group_sql(group: str, dim: str, column: str, name: str, size_ms: int) -> str:
     rows = f"""
       SELECT ts, {group}, final_amount AS order_total_amount, 0 AS order_uu_count, 0 AS order_count FROM lines
@@ -195,7 +199,7 @@ def group_sql(group: str, dim: str, column: str, name: str, size_ms: int) -> str
       UNION ALL SELECT min(ts), {group}, 0, 1, 0 FROM lines GROUP BY user_id, {group}, ts // 86400"""
     return metric_sql(
         f"orders_fact {dim}", rows, group,
-        {"order_total_amount": "DECIMAL(18,2)", "order_uu_count": "BIGINT", "order_count": "BIGINT"}, size_ms, unit="s",
+        {"order_total_amount": "DECIMAL(38,2)", "order_uu_count": "BIGINT", "order_count": "BIGINT"}, size_ms, unit="s",
         columns=f"m.{group}, d.{column} AS {name}", dims=f"LEFT JOIN {dim} d ON m.{group} = d.id",
         lines=f"SELECT * FROM orders_fact WHERE user_id IS NOT NULL AND {group} IS NOT NULL")
 
@@ -203,12 +207,12 @@ def group_sql(group: str, dim: str, column: str, name: str, size_ms: int) -> str
 each_size(
     "dws_source_orders",
     lambda ms: group_sql("source_id", "dim_source", "source_site", "source_name", ms),
-    lambda spark, sf, size: metrics.source_orders(inputs.orders_fact(spark, sf), inputs.dim_source(spark, sf), size))
+    lambda spark, sf, size: metrics.source_orders(inputs.orders_fact(spark, sf, *GROUPED, "source_id"), inputs.dim_source(spark, sf), size))
 
 each_size(
     "dws_province_orders",
     lambda ms: group_sql("province_id", "dim_province", "name", "province_name", ms),
-    lambda spark, sf, size: metrics.province_orders(inputs.orders_fact(spark, sf), inputs.dim_province(spark, sf), size),
+    lambda spark, sf, size: metrics.province_orders(inputs.orders_fact(spark, sf, *GROUPED, "province_id"), inputs.dim_province(spark, sf), size),
     FIVE_SECONDS, DAY)
 
 

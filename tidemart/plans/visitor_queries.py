@@ -85,11 +85,11 @@ def flag_sql(source: str, keys: str, order: str, flag: str, columns: str, day_ms
       FROM {source}""")
 
 
-@query("play_user_daily", flag_sql("videos", "mid, video_id", "ts, event_id", "play_uu_count",
-                                   "event_id, mid AS user_id, video_id, ts, play_sec"))
+@query("play_user_daily", flag_sql("videos", "uid, video_id", "ts, event_id", "play_uu_count",
+                                   "event_id, uid AS user_id, video_id, ts, play_sec"))
 def play_user_daily(spark, sf):
     plays = inputs.events(spark, sf).where(F.col("event_type") == "click").select(
-        "event_id", inputs.text("user_id").alias("user_id"), inputs.text("k").alias("video_id"), "ts",
+        "event_id", inputs.common()["uid"].alias("user_id"), inputs.text("k").alias("video_id"), "ts",
         F.floor("value").cast("int").alias("play_sec"))
     return firsts.flag_daily_first(plays, ["user_id", "video_id"], "play_uu_count", ["ts", "event_id"])
 
@@ -112,18 +112,18 @@ def user_new_sql(source: str, keep: str = "TRUE") -> str:
 
 @query("order_user_daily_new", user_new_sql("orders_fact"))
 def order_user_daily_new(spark, sf):
-    return visitors.user_daily_new(inputs.orders_fact(spark, sf))
+    return visitors.user_daily_new(inputs.orders_fact(spark, sf, "user_id", "ts"))
 
 
 @query("pay_user_daily_new", user_new_sql("payments_fact", "user_id IS NOT NULL"))
 def pay_user_daily_new(spark, sf):
-    return visitors.user_daily_new(filters.filter_required_keys(inputs.payments_fact(spark, sf), "user_id"))
+    return visitors.user_daily_new(filters.filter_required_keys(inputs.payments_fact(spark, sf, "user_id", "ts"), "user_id"))
 
 
 @query("order_daily_flag", flag_sql("orders_fact", "order_id", "ts, id", "order_count",
                                     "id, order_id, ts, final_amount", "ts * 1000"))
 def order_daily_flag(spark, sf):
-    lines = inputs.orders_fact(spark, sf).select("id", "order_id", "ts", "final_amount")
+    lines = inputs.orders_fact(spark, sf, "id", "order_id", "ts", "final_amount")
     return firsts.flag_daily_first(lines, ["order_id"], "order_count", ["ts", "id"], "s")
 
 
@@ -133,8 +133,8 @@ def order_daily_flag(spark, sf):
            AS order_uu_count
   FROM orders_fact WHERE user_id IS NOT NULL AND province_id IS NOT NULL"""))
 def user_group_daily_flag(spark, sf):
-    lines = filters.filter_required_keys(inputs.orders_fact(spark, sf), "user_id", "province_id").select(
-        "id", "user_id", "province_id", "ts")
+    lines = filters.filter_required_keys(
+        inputs.orders_fact(spark, sf, "id", "user_id", "province_id", "ts"), "user_id", "province_id")
     return firsts.flag_daily_first(lines, ["user_id", "province_id"], "order_uu_count", ["ts", "id"], "s")
 
 

@@ -11,19 +11,16 @@ from .readers import drop_tombstones
 
 
 def parse_log(topic: DataFrame) -> DataFrame:
-    """Log lines with struct column rec; see split_dirty and clean_log for the two outputs."""
+    """Log lines with struct column rec; see split_dirty for the two outputs."""
     return jsontext.parse(drop_tombstones(topic), schemas.LOG)
 
 
 def split_dirty(topic: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed records, dirty lines). Each output parses by itself, so neither waits for the other."""
+    """(parsed records, dirty lines): dirty is what is no JSON object, and nothing else. Each output parses by itself."""
     parsed = parse_log(topic)
-    return clean_log(parsed), parsed.where(jsontext.is_bad()).select("value")
-
-
-def clean_log(parsed: DataFrame) -> DataFrame:
-    return parsed.where(~jsontext.is_bad()).select(
+    good = parsed.where(~jsontext.is_bad()).select(
         *[c for c in parsed.columns if c not in ("value", "rec")], "rec.*").drop(jsontext.BAD)
+    return good, parsed.where(jsontext.is_bad()).select("value")
 
 
 def read_page_log(topic: DataFrame, maps: bool = False) -> DataFrame:

@@ -64,12 +64,16 @@ def base_db(site: Site) -> Queries:
 # Logs -----------------------------------------------------------------------------------------------
 
 def base_log(site: Site) -> Queries:
-    """Log lines to the dirty, error, start, play, display, action and page topics."""
-    good, dirty = logs.split_dirty(site.lines(fixed.TOPIC_LOG))
-    known = stateful.fix_is_new(good.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")}))
-    corrected = known.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("mid", "is_new")
-    return [site.publish(dirty.select(F.lit(fixed.LOG_DIRTY).alias("topic"), "value"), "base_log_dirty"),
-            site.publish(splitting.split_log(corrected), "base_log")]
+    """Log lines to the dirty, error, start, play, display, action and page topics, in one query.
+
+    Of a line the state needs device, flag and time; the line itself goes along as text. A line without device or time
+    has no state to correct it by, and a dirty one has neither.
+    """
+    lines = readers.drop_tombstones(site.lines(fixed.TOPIC_LOG)).select("value", jsontext.once(F.from_json(
+        "value", "common struct<mid:string,is_new:string>, ts string")).alias("rec"))
+    flat = lines.select("value", "rec.common.mid", "rec.common.is_new", F.col("rec.ts").try_cast("bigint").alias("ts"))
+    known = stateful.fix_is_new(flat).select("value", "is_new")
+    return [site.publish(splitting.split_log(known, dirty=True), "base_log")]
 
 
 def _page_lines(site: Site) -> DataFrame:
