@@ -49,9 +49,24 @@ def test_dim_store_batches_and_later_merge(spark):
         store.write(changes(("update", 2, {"id": "1", "a": "z"}), ("delete", 2, {"id": "2"})), 1)
     state = store.read_dim("dim_t", "id", ["id", "a", "b"])
     assert values(state, "id", "a", "b") == [("1", "z", "y")]
-    base = store.snapshot("dim_t", "id", ["id", "a", "b"], shared_folder(spark, "base"), 0)
+    assert store.read_dim("dim_none", "id", ["id", "a"]).count() == 0
+    store.fold("dim_t", "id", ["id", "a", "b"], 0)
+    base = spark.read.parquet(store.base("dim_t")[1])
     assert values(base, "id", "a", "b") == [("1", "x", "y"), ("2", "x", None)]
-    assert values(store.read_dim("dim_t", "id", ["id", "a", "b"], base, 0), "id", "a", "b") == [("1", "z", "y")]
+    assert values(store.read_dim("dim_t", "id", ["id", "a", "b"]), "id", "a", "b") == [("1", "z", "y")]
+    assert "insert" not in [r.type for r in store.changes("dim_t", store.base("dim_t")[0]).collect()]
+    # Batches of an earlier folder than the base's are not even listed.
+    store.write(changes(("update", 9, {"id": "1", "b": "v"})), 250)
+    store.fold("dim_t", "id", ["id", "a", "b"], 250)
+    read = store.changes("dim_t", store.base("dim_t")[0]).inputFiles()
+    assert store._parts() == [0, 2] and all("part=2" in f for f in read)
+    assert values(store.read_dim("dim_t", "id", ["id", "a", "b"]), "id", "a", "b") == [("1", "z", "v")]
+    store.clear("dim_t")
+    assert store.read_dim("dim_t", "id", ["id", "a", "b"]).count() == 0 and store.base("dim_other") == (None, None)
+    store.write(changes(("insert", 10, {"id": "5", "a": "n"})), 251)
+    assert values(store.read_dim("dim_t", "id", ["id", "a", "b"]), "id", "a", "b") == [("5", "n", None)]
+    empty = tables.DimStore(spark, shared_folder(spark, "none"), ["ts"])
+    assert empty.read_dim("dim_t", "id", ["id", "a"]).count() == 0
     later = dims.merge_dim(state, changes(("update", 1, {"id": "1", "b": "w"})).where("sink_table = 'dim_t'"),
                            "id", ["id", "a", "b"], ["ts"])
     assert values(later, "id", "a", "b") == [("1", "z", "w")]
@@ -96,6 +111,10 @@ def test_lifecycle(spark):
     lifecycle.apply_lifecycle(spark, rows.where("ts_ms = 1"))
     assert spark.catalog.tableExists("dim_a") and spark.catalog.tableExists("dim_b")
     assert spark.table("dim_a").columns == ["id", "x"]
-    lifecycle.apply_lifecycle(spark, rows)
+    assert lifecycle.apply_lifecycle(spark, rows) == ["dim_a", "dim_b"]
     assert spark.table("dim_a").columns == ["id", "x", "y"] and not spark.catalog.tableExists("dim_b")
+    # Dropped and created in one batch: nothing of the old table is left.
+    again = spark.createDataFrame([("dim_a", "d", "id", 4), ("dim_a", "c", "id,z", 5)], rows.schema)
+    lifecycle.apply_lifecycle(spark, again)
+    assert spark.table("dim_a").columns == ["id", "z"]
     spark.sql("DROP TABLE dim_a")

@@ -1,5 +1,7 @@
 """Streams over several micro-batches against the batch operators."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,3 +169,54 @@ def test_micro_batches_into_tables(spark):
     counts = timed().groupBy("k").agg(F.sum("n").alias("n"), F.max("ts").alias("ts"))
     runs.to_table(counts, keyed, f"{folder}/c2", mode="update").awaitTermination()
     assert values(keyed.read(), "k", "n") == [("k0", 135), ("k1", 145), ("k2", 155)]
+
+
+def test_user_jump_sorts_the_open_entry_among_older_rows(spark):
+    """An entry at 100 s waits; then come an entry of 95 s, a page of 101 s, and much later the end."""
+    schema = "id int, mid string, last_page_id string, ts bigint"
+    rows = [(1, "a", None, T0 + 100_000), (2, "a", None, T0 + 95_000), (3, "a", "x", T0 + 101_000), (4, "z", "x", T0 + 900_000),
+            (5, "z", "x", T0 + 900_001), (6, "z", "x", T0 + 900_002)]
+    folder = shared_folder(spark, "order")
+    for i, batch in enumerate((rows[:1], rows[1:3], rows[3:4], rows[4:5], rows[5:])):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        time.sleep(1.1)  # files are taken in order of their time
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    got = run(spark, stateful.user_jump(stream, delay="60 seconds"))
+    assert values(got, "id") == [(2,)]
+
+
+@pytest.mark.parametrize("zone", ["Asia/Shanghai", "America/New_York"])
+def test_days_are_those_of_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [(i, f"m{i % 3}", None, T0 + i * 5 * 3_600_000) for i in range(60)]
+        schema = "id int, mid string, last_page_id string, ts bigint"
+        daily = run(spark, stateful.unique_visitor_daily(split(spark, rows, schema, 3)))
+        batch = firsts.daily_first(spark.createDataFrame(rows, schema), ["mid"], ["ts"])
+        assert values(daily, "id", "mid", "ts") == values(batch, "id", "mid", "ts")
+        back = run(spark, stateful.daily_first(split(spark, rows, schema, 3), ["mid"]).select(
+            "mid", "ts", stateful.is_new_user().alias("new"), stateful.is_back().alias("back")))
+        users = visitors.user_daily_new(spark.createDataFrame(rows, schema), "mid", "ms")
+        assert values(back, "mid", "ts", "new") == values(users, "mid", "ts", "new_count")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_the_last_partner_within_the_bound_counts(spark):
+    """As in the batch joins, which keep the last source, order line and attributes."""
+    def side(rows, schema, unit="s"):
+        return windows.watermarked(timefmt.with_event_time(split(spark, rows, schema, 2), unit), "5 seconds")
+
+    t = T0 // 1000
+    orders = side([("1", "s1", t), ("2", "none", t + 1), ("9", "end", t + 9_999), ("8", "end", t + 9_999)], "id string, session_id string, ts bigint")
+    log = side([("s1", "early", t - 3), ("s1", "late", t + 4), ("s1", "middle", t + 2), ("end", "x", t + 9_999)],
+               "session_id string, source_id string, ts bigint")
+    got = run(spark, joins.join_order_source(orders, log).select("id", "source_id")).where("id < '8'")
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "late"), ("2", None)]
+
+    paid = side([("p1", "o1", t), ("p9", "end", t + 9_999), ("p8", "end", t + 9_999)], "id string, order_id string, ts bigint")
+    lines = side([("l2", "o1", "c2", t + 1), ("l1", "o1", "c1", t + 1), ("l0", "o1", "c0", t - 9), ("l9", "end", "c", t + 9_999)],
+                 "id string, order_id string, course_id string, ts bigint")
+    got = run(spark, joins.join_payment_detail(paid, lines).select("id", "course_id")).where("id < 'p8'")
+    assert values(got, "id", "course_id") == [("p1", "c2")]

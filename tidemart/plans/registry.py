@@ -19,7 +19,11 @@ def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def put(run: Query) -> Query:
         def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(tune(spark), sf_dir)
+            tune(spark).conf.set("spark.sql.session.timeZone", "UTC")  # the zone in which the SQL counts days
+            if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+                # The default, so nobody chose it. Streams open a state store per partition: one per core is enough.
+                spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+            return run(spark, sf_dir)
 
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")

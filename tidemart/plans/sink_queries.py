@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import timefmt
@@ -73,19 +75,38 @@ def to_snake_json(spark, sf):
 
 @query("dim_upsert_batches", with_inputs("user_changes", DIM_STATE))
 def dim_upsert_batches(spark, sf):
-    """Dimension changes in two batches of their time, then merged."""
+    """Dimension changes in three batches of their time; the first two are folded, the last is merged with the base."""
     store = tables.DimStore(spark, shared_folder(spark, "dim"), ["ts", "event_id"])
     changes = inputs.user_dim_changes(spark, sf).withColumn("sink_table", F.lit("dim_user"))
-    half = F.col("ts") < 1705363200000
-    store.write(changes.where(half), 0)
-    store.write(changes.where(~half), 1)
-    return store.read_dim("dim_user", "id", ["id", "level", "score"])
+    ends = changes.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    columns, third = ["id", "level", "score"], ((ends.high or 0) - (ends.low or 0)) // 3 + 1
+    for batch in range(3):
+        store.write(changes.where(F.floor((F.col("ts") - (ends.low or 0)) / third) == batch), batch)
+        if batch == 1:
+            store.fold("dim_user", "id", columns, batch)
+    return store.read_dim("dim_user", "id", columns)
 
 
-@query("dim_table_lifecycle", with_inputs("config_rows", """
+@query("dim_table_steps", with_inputs("config_rows", """
   SELECT source_table, sink_table, op, ts_ms, CAST(step AS INTEGER) AS step,
          CASE WHEN op = 'd' OR op = 'u' AND step = 0 THEN 'drop' ELSE 'create' END AS action
   FROM (SELECT *, unnest(generate_series(0, CASE WHEN op = 'u' THEN 1 ELSE 0 END)) AS step FROM config_rows)"""))
-def dim_table_lifecycle(spark, sf):
+def dim_table_steps(spark, sf):
     rows = config.cdc_before_after(inputs.config_changes(spark, sf))
     return lifecycle.lifecycle_steps(rows).select("source_table", "sink_table", "op", "ts_ms", "step", "action")
+
+
+@query("dim_table_lifecycle", with_inputs("config_rows", """
+  SELECT sink_table, unnest(string_split(sink_columns, ',')) AS column_name
+  FROM (SELECT sink_table, max_by(op, (ts_ms, event_id)) AS op, max_by(sink_columns, (ts_ms, event_id)) AS sink_columns
+        FROM config_rows GROUP BY sink_table)
+  WHERE op <> 'd'"""))
+def dim_table_lifecycle(spark, sf):
+    """The config changes as DDL in a database of their own; the tables that the catalog has then."""
+    rows = config.cdc_before_after(inputs.config_changes(spark, sf))
+    database = f"lifecycle_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    lifecycle.apply_lifecycle(spark, rows, ("ts_ms", "event_id"), database)
+    found = [(t.name, c) for t in spark.catalog.listTables(database) for c in spark.table(f"{database}.{t.name}").columns]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(found, "sink_table string, column_name string")

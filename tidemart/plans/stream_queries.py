@@ -88,13 +88,15 @@ def stream_session(spark, sf):
 
 @query("late_drop", with_inputs("ev", f"""
   SELECT {bounds(10_000)}, n FROM (
-    SELECT {window_start('ts', 10_000)} AS w, count(*) AS n FROM ev WHERE ts >= 1705363200000 GROUP BY 1)
+    SELECT {window_start('ts', 10_000)} AS w, count(*) AS n FROM ev
+    WHERE ts >= (SELECT (min(ts) + max(ts)) // 2 FROM ev) GROUP BY 1)
   WHERE w + 10000 <= (SELECT max(ts) - 5000 FROM ev)"""))
 def late_drop(spark, sf):
-    """The second half of the month comes first, so that the first half is late and drops out."""
+    """The second half of the time comes first, so that the first half is late and drops out."""
     path = shared_folder(spark, "late")
     rows = inputs.events(spark, sf).select("ts")
-    half = F.col("ts") >= 1705363200000
+    ends = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    half = F.col("ts") >= (ends.low + ends.high) // 2
     for part in (half, ~half):
         rows.where(part).write.mode("append").parquet(f"{path}/in")
         timed = timefmt.with_event_time(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), "ms").select(
@@ -163,19 +165,21 @@ NEAR_MS = 2 * 86_400_000
 
 
 @query("join_state_ttl", with_inputs("ev", f"""
-  SELECT s.event_id, s.user_id, c.event_id AS click_id, s.ts
+  SELECT s.event_id, s.user_id, max_by(c.event_id, (c.ts, c.event_id)) AS click_id, s.ts
   FROM (SELECT * FROM ev WHERE event_type = 'signup') s
   LEFT JOIN (SELECT * FROM ev WHERE event_type = 'click') c
     ON s.user_id = c.user_id AND c.ts BETWEEN s.ts - {NEAR_MS} AND s.ts + {NEAR_MS}
-  WHERE c.event_id IS NOT NULL OR s.ts + {NEAR_MS} < (
-    SELECT least(max(ts) FILTER (event_type = 'signup'), max(ts) FILTER (event_type = 'click')) - 5000 FROM ev)"""))
+  WHERE s.ts + {NEAR_MS} < (
+    SELECT least(max(ts) FILTER (event_type = 'signup'), max(ts) FILTER (event_type = 'click')) - 5000 FROM ev)
+  GROUP BY s.event_id, s.user_id, s.ts"""))
 def join_state_ttl(spark, sf):
-    """Signups with the clicks of the same user at most two days off; the bound empties the join state."""
+    """Signups with the last click of the same user at most two days off; the bound empties the join state."""
     def side(kind, **names):
         rows = inputs.events_stream(spark, sf).where(F.col("event_type") == kind)
         timed = windows.watermarked(timefmt.with_event_time(rows, "ms"), "5 seconds")
         return timed.select("event_time", "user_id", *[F.col(c).alias(n) for n, c in names.items()])
 
-    joined = joins.bounded_join(side("signup", event_id="event_id", ts="ts"), side("click", click_id="event_id"),
-                                "user_id", "leftOuter", "2 days")
-    return finished(spark, joined.select("event_id", "user_id", "click_id", "ts"))
+    signups = side("signup", event_id="event_id", ts="ts")
+    joined = joins.bounded_join(signups, side("click", click_id="event_id", _ts="ts"), "user_id", "leftOuter", "2 days")
+    last = joins.last_partner(joined, signups.columns, ["click_id"], ["_ts", "click_id"])
+    return finished(spark, last.select("event_id", "user_id", "click_id", "ts"))

@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings only: all of them can be put on a session that already runs.
+# Runtime settings only: all of them can be put on a session that already runs. Time zone and partitions are the
+# operator's own choice.
 RUNTIME = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,10 +28,6 @@ def tune(spark: SparkSession) -> SparkSession:
     """Put the settings the operators count on onto a running session."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and not context.getConf().contains("spark.sql.shuffle.partitions"):
-        # Streams open a state store per partition: on one machine the default of 200 mostly costs start-up.
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
@@ -40,6 +36,7 @@ def build(master: str = "local[8]", name: str = "tidemart", **extra: str) -> Spa
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         "spark.python.unix.domain.socket.enabled": "true",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed
@@ -17,17 +19,25 @@ def lifecycle_steps(config_rows: DataFrame) -> DataFrame:
     return config_rows.select("*", F.posexplode(steps).alias("step", "action"))
 
 
-def apply_lifecycle(spark: SparkSession, config_rows: DataFrame, order: str = "ts_ms", database: str = "default") -> None:
-    """Run the steps in order as DDL.
+def apply_lifecycle(spark: SparkSession, config_rows: DataFrame, order: Sequence[str] = ("ts_ms",),
+                    database: str = "default") -> list[str]:
+    """Run the changes as DDL, and give back the tables that were dropped.
 
-    Only the last change per sink table is run: earlier steps on the same table leave nothing behind.
-    What reaches the driver is one row per table of the catalog.
+    Per table the last change decides what is left; a drop or rewrite before it leaves nothing of the old table, so that
+    is dropped first. Changes equal in `order` count by op and columns. What reaches the driver is one row per table of
+    the catalog.
     """
-    last = config_rows.groupBy("sink_table").agg(F.max_by(F.struct("op", "sink_columns"), order).alias("last"))
-    for row in lifecycle_steps(last.select("sink_table", "last.*")).orderBy("sink_table", "step").toLocalIterator():
+    change = F.struct(*order, "op", "sink_columns")
+    gone = F.col("op").isin(fixed.CONFIG_DELETE, fixed.CONFIG_UPDATE)
+    tables = config_rows.where(F.col("sink_table").isNotNull()).groupBy("sink_table").agg(
+        F.max(change).alias("last"), F.max(gone).alias("gone"))
+    dropped = []
+    for row in tables.select("sink_table", "last.op", "last.sink_columns", "gone").orderBy("sink_table").toLocalIterator():
         name = f"`{database}`.`{row.sink_table}`"
-        if row.action == DROP:
+        if row.gone:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-        else:
+            dropped.append(row.sink_table)
+        if row.op != fixed.CONFIG_DELETE:
             columns = ", ".join(f"`{c}` STRING" for c in row.sink_columns.split(","))
             spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    return dropped

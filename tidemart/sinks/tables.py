@@ -7,6 +7,7 @@ nothing. Readers merge the batches; compact() folds them into a new base, off th
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,6 +18,14 @@ from ..operators import dims, firsts
 BATCH = "batch_id"
 
 
+def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """A Parquet folder, or None while nothing has been written there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
 class MetricTable:
     """Append-only rows, each batch exactly once."""
 
@@ -32,6 +41,10 @@ class MetricTable:
     def read(self) -> DataFrame:
         return self.batches().drop(BATCH)
 
+    def read_or_none(self) -> DataFrame | None:
+        rows = read_or_none(self.spark, self.path)
+        return rows if rows is None else rows.drop(BATCH)
+
 
 class KeyedTable(MetricTable):
     """Upsert by key: the last row per key counts, a row of type 'delete' removes the key."""
@@ -60,33 +73,82 @@ class KeyedTable(MetricTable):
 class DimStore(MetricTable):
     """All dimensions: routed changes in batches, merged column by column on reading.
 
-    One write per batch serves every dimension; a reader prunes to its own by the partition column.
+    One write per batch serves every dimension; a reader prunes to its own by the partition column. Now and then a
+    dimension is folded: its state goes into a base, and readers merge that with the batches after it. Batches lie in one
+    folder per FOLD of them, so a reader lists those since its base, not all there ever were.
     """
 
+    FOLD = 100
+
     def __init__(self, spark: SparkSession, path: str, order: Sequence[str]):
         super().__init__(spark, path)
         self.order = list(order)
 
     def write(self, routed: DataFrame, batch_id: int) -> None:
         rows = routed.select("sink_table", "type", *self.order, "data")
-        rows.write.mode("overwrite").partitionBy("sink_table").parquet(f"{self.path}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").partitionBy("sink_table").parquet(
+            f"{self.path}/changes/part={batch_id // self.FOLD}/{BATCH}={batch_id}")
+
+    def _schema(self) -> str:
+        order = ", ".join(f"{c} bigint" for c in self.order)
+        return f"type string, {order}, data map<string,string>, part long, {BATCH} long, sink_table string"
+
+    def _files(self) -> tuple[object, object]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/changes")
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def _parts(self) -> list[int]:
+        """The folders of batches: one name per FOLD of them."""
+        files, folder = self._files()
+        if not files.exists(folder):
+            return []
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in files.listStatus(folder)
+                      if s.getPath().getName().startswith("part="))
 
     def changes(self, table: str, after: int | None = None, upto: int | None = None) -> DataFrame:
         """Changes of one dimension, from the batches after the one and up to the other."""
-        rows = self.batches().where(F.col("sink_table") == table)
+        first = -1 if after is None else after // self.FOLD
+        paths = [f"{self.path}/changes/part={p}" for p in self._parts()
+                 if p >= first and (upto is None or p <= upto // self.FOLD)]
+        reader = self.spark.read.schema(self._schema()).option("basePath", f"{self.path}/changes")
+        rows = reader.parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
+        rows = rows.where(F.col("sink_table") == table).drop("part")
         rows = rows if after is None else rows.where(F.col(BATCH) > after)
         return rows if upto is None else rows.where(F.col(BATCH) <= upto)
 
-    def read_dim(self, table: str, key: str, columns: Sequence[str], base: DataFrame | None = None,
-                 after: int | None = None) -> DataFrame:
-        """A dimension as it is now: all its changes, or a snapshot and the changes after it."""
-        order = [*self.order, BATCH]
-        if base is None:
-            return dims.dim_upsert(self.changes(table), key, columns, order)
-        return dims.merge_dim(base, self.changes(table, after), key, columns, order)
-
-    def snapshot(self, table: str, key: str, columns: Sequence[str], path: str, upto: int) -> DataFrame:
-        """Write the state after batch `upto`, as the base of later reads."""
-        state = dims.dim_upsert(self.changes(table, upto=upto), key, columns, [*self.order, BATCH])
-        state.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    def base(self, table: str) -> tuple[int | None, str | None]:
+        """(last batch of the base, its folder or None for an empty one), (None, None) without a base."""
+        rows = read_or_none(self.spark, f"{self.path}/bases/of={table}", "upto bigint, at string, made bigint")
+        last = rows.orderBy(F.desc("upto"), F.desc("made")).first() if rows is not None else None
+        return (last.upto, last.at or None) if last else (None, None)
+
+    def _point(self, table: str, upto: int, at: str) -> None:
+        made = time.time_ns()
+        self.spark.createDataFrame([(upto, at, made)], "upto bigint, at string, made bigint").coalesce(1).write.mode("append").parquet(
+            f"{self.path}/bases/of={table}")
+
+    def read_dim(self, table: str, key: str, columns: Sequence[str], upto: int | None = None) -> DataFrame:
+        """A dimension as it is now (or after batch `upto`): its base, if it has one, and the changes after it. Before
+        the first batch it is empty."""
+        after, at = self.base(table)
+        order, changes = [*self.order, BATCH], self.changes(table, after, upto)
+        if at is None:
+            return dims.dim_upsert(changes, key, columns, order)
+        names = [key, *[c for c in columns if c != key]]
+        schema = ", ".join(f"`{c}` string" for c in names)
+        return dims.merge_dim(self.spark.read.schema(schema).parquet(at), changes, key, columns, order)
+
+    def fold(self, table: str, key: str, columns: Sequence[str], upto: int) -> None:
+        """Write the state after batch `upto` as the base of later reads."""
+        at = f"{self.path}/states/{table}/upto={upto}"
+        self.read_dim(table, key, columns, upto).write.mode("overwrite").parquet(at)
+        self._point(table, upto, at)
+
+    def clear(self, table: str) -> None:
+        """Forget what the batches so far say of a dimension."""
+        files, folder = self._files()
+        last = [int(s.getPath().getName().split("=")[1]) for p in self._parts()[-1:]
+                for s in files.listStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/changes/part={p}"))
+                if s.getPath().getName().startswith(f"{BATCH}=")]
+        if last:
+            self._point(table, max(last), "")

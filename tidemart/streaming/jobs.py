@@ -5,11 +5,13 @@ Each function starts one job on a Site and returns its streaming queries.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed, schemas
-from ..functions import jsontext, text, timefmt
+from ..functions import jsontext, measures, text, timefmt
 from ..operators import dims, filters, metrics, routing, splitting, windows
 from ..operators.joins import PAID_COLUMNS
 from ..sinks import lifecycle
@@ -30,16 +32,35 @@ def dimensions(site: Site) -> Queries:
     def act(batch: DataFrame, batch_id: int) -> None:
         current = config.config_latest(site.config("table_process_dim"))
         store.write(routing.prune_sink_columns(routing.route_dims(batch, current)), batch_id)
+        if batch_id % site.fold_every == site.fold_every - 1:
+            # One row per configured table; from now on readers start at the folded state.
+            for row in current.select("sink_table", "sink_columns", "sink_row_key").distinct().toLocalIterator():
+                store.fold(row.sink_table, row.sink_row_key or "id", row.sink_columns.split(","), batch_id)
 
     return [site.each_batch(changes.select("table", "type", *CHANGE_ORDER, "data"), "dim", act)]
 
 
+def config_tables(site: Site, topics: Sequence[tuple[str, str]] = (
+        ("table_process_dim", schemas.DIM_CONFIG), ("table_process_dwd", schemas.FACT_CONFIG))) -> Queries:
+    """Config changes into the tables that the routing jobs read."""
+    def follow(name: str, row: str) -> StreamingQuery:
+        changes = cdc.parse_tolerant(readers.drop_tombstones(site.lines(name)), schemas.config_change(row))
+        return site.each_batch(config.cdc_before_after(changes), f"config_{name}",
+                               lambda batch, batch_id: site.config_table(name).write(batch, batch_id))
+
+    return [follow(name, row) for name, row in topics]
+
+
 def dim_tables(site: Site, topic: str = "table_process_dim", database: str = "default") -> Queries:
-    """Create, recreate and drop catalog tables as their config rows come and go."""
+    """Create, recreate and drop catalog tables as their config rows come and go; a changed or removed config row also
+    clears the stored dimension."""
+    store = site.dim_store()
     changes = cdc.parse_tolerant(readers.drop_tombstones(site.lines(topic)), schemas.config_change(schemas.DIM_CONFIG))
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        lifecycle.apply_lifecycle(site.spark, config.cdc_before_after(batch), database=database)
+        rows = config.cdc_before_after(batch)
+        for name in lifecycle.apply_lifecycle(site.spark, rows, database=database):
+            store.clear(name)
 
     return [site.each_batch(changes, "dim_tables", act)]
 
@@ -118,38 +139,34 @@ def _timed(df: DataFrame, unit: str, delay: str = fixed.DELAY_LONG) -> DataFrame
     return windows.watermarked(timefmt.with_event_time(df, unit), delay)
 
 
-def _one_per(df: DataFrame, unit: str, key: str, delay: str) -> DataFrame:
-    """The first row per key within the delay, so that a join finds one partner per key."""
-    return _timed(df, unit, delay).dropDuplicatesWithinWatermark([key])
-
-
-def order_details(site: Site) -> Queries:
-    """Order lines with their order and source."""
+def order_details(site: Site, bound: str = fixed.ORDER_JOIN_BOUND) -> Queries:
+    """Order lines with their order and source, keyed by line. Partners may be `bound` away."""
     changes = _changes(site)
     detail, info = _timed(cdc.extract_order_detail(changes), "s"), _timed(cdc.extract_order_info(changes), "s")
     log = logs.extract_order_log(logs.read_page_log(site.lines(fixed.LOG_PAGE)))
-    orders = joins.join_detail_order(detail, info)
-    facts = joins.join_order_source(orders, _one_per(log, "ms", "session_id", fixed.ORDER_JOIN_BOUND))
-    return [site.publish_json(facts.select(*_names(schemas.ORDER_DETAIL)), fixed.FACT_ORDER_DETAIL, "order_detail")]
+    orders = joins.join_detail_order(detail, info, bound)
+    facts = joins.join_order_source(orders, _timed(log, "ms"), bound)
+    return [site.publish_json(facts.select(*_names(schemas.ORDER_DETAIL)), fixed.FACT_ORDER_DETAIL, "order_detail", "id")]
 
 
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def payments(site: Site, types: tuple[str, ...] = (fixed.INSERT,)) -> Queries:
-    """Payments with a line of their order."""
+def payments(site: Site, types: tuple[str, ...] = (fixed.INSERT,), bound: str = fixed.ORDER_JOIN_BOUND) -> Queries:
+    """Payments with the last line of their order, keyed by payment."""
     paid = _timed(cdc.extract_payment(_changes(site), types), "s")
     detail = site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL).select("id", "order_id", *PAID_COLUMNS, "ts")
-    facts = joins.join_payment_detail(paid, _one_per(detail, "s", "order_id", fixed.ORDER_JOIN_BOUND))
-    return [site.publish_json(facts.select(*_names(schemas.PAYMENT_DETAIL)), fixed.FACT_PAYMENT, "payment")]
+    facts = joins.join_payment_detail(paid, _timed(detail, "s"), bound)
+    return [site.publish_json(facts.select(*_names(schemas.PAYMENT_DETAIL)), fixed.FACT_PAYMENT, "payment", "id")]
 
 
-def registers(site: Site) -> Queries:
+def registers(site: Site, bound: str = fixed.REGISTER_JOIN_BOUND) -> Queries:
+    """Registrations with the user's last page attributes, keyed by user."""
     users = _timed(cdc.extract_user_register(_changes(site)), "s")
     log = logs.extract_dim_log(logs.read_page_log(site.lines(fixed.LOG_PAGE)))
-    facts = joins.join_register_dim(users, _one_per(log, "ms", "user_id", fixed.REGISTER_JOIN_BOUND)).drop("event_time")
-    return [site.publish_json(facts.withColumn("row_op_ts", F.current_timestamp()), fixed.FACT_REGISTER, "user_register")]
+    facts = joins.join_register_dim(users, _timed(log, "ms"), bound).drop("event_time")
+    return [site.publish_json(facts.withColumn("row_op_ts", F.current_timestamp()), fixed.FACT_REGISTER, "user_register", "user_id")]
 
 
 # Metrics --------------------------------------------------------------------------------------------
@@ -185,18 +202,23 @@ def traffic(site: Site) -> Queries:
 
 def page_view(site: Site, keys: tuple[str, ...] = ("mid", "page_id")) -> Queries:
     seen = filters.filter_three_pages(_pages(site, fixed.LOG_PAGE)).select("common.mid", "page.page_id", "ts")
-    first = stateful.daily_first(seen, list(keys))
+    first = stateful.daily_first(seen, list(keys), ttl_ms=fixed.STATE_TTL_MS)
     counted = first.select("event_time", *[F.when(F.col("page_id") == page, 1).otherwise(0).alias(name)
                                            for name, page in metrics.PAGE_MEASURES.items()])
     return [site.metric(windows.windowed_metric(counted, [], [*metrics.PAGE_MEASURES]), fixed.METRIC_PAGE_VIEW)]
 
 
 def chapter_play(site: Site, user_key: tuple[str, ...] = ("user_id", "video_id")) -> Queries:
+    """Plays pass no state; of a user's plays the state sees the first of each day and task batch."""
     plays = _plays(site).select("user_id", "video_id", "play_sec", "ts")
-    flagged = stateful.daily_first(plays, list(user_key), ttl_ms=fixed.STATE_TTL_MS, keep_all=True)
-    rows = flagged.select("event_time", "video_id", F.lit(1).alias("play_count"), F.col("play_sec").alias("play_total_sec"),
-                          F.col("is_first").alias("play_uu_count"))
-    summed = windows.windowed_metric(rows, ["video_id"], ["play_count", "play_total_sec", "play_uu_count"], cur_date=False)
+    played = _timed(plays, "ms").select("event_time", "video_id", F.lit(1).alias("play_count"),
+                                        F.col("play_sec").alias("play_total_sec"), F.lit(0).alias("play_uu_count"))
+    known = filters.filter_required_keys(plays.select("user_id", "video_id", "ts"), "user_id")
+    first = stateful.daily_first(known, list(user_key), ttl_ms=fixed.STATE_TTL_MS)
+    users = first.select("event_time", "video_id", F.lit(0).alias("play_count"), F.lit(0).alias("play_total_sec"),
+                         F.lit(1).alias("play_uu_count"))
+    summed = windows.windowed_metric(played.unionByName(users), ["video_id"], ["play_count", "play_total_sec", "play_uu_count"],
+                                     cur_date=False)
 
     def names(batch: DataFrame) -> DataFrame:
         return dims.dim_chain_2(batch, site.dim("dim_video_info", "chapter_id"), site.dim("dim_chapter_info", "chapter_name"))
@@ -230,7 +252,7 @@ def _daily_users(facts: DataFrame, uv: str, new: str) -> DataFrame:
 
 
 def order_users(site: Site) -> Queries:
-    facts = site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL)
+    facts = filters.filter_required_keys(site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL), "user_id")
     return [site.metric(_daily_users(facts, "order_uv_count", "new_order_user_count"), fixed.METRIC_ORDER_USERS)]
 
 
@@ -241,8 +263,8 @@ def pay_users(site: Site) -> Queries:
 
 def course_orders(site: Site) -> Queries:
     facts = timefmt.with_event_time(site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL), "s")
-    rows = facts.select("event_time", "course_id", F.col("final_amount").cast("decimal(18,2)").alias("order_total_amount"))
-    summed = _windows(rows, fixed.DELAY_LONG, ["course_id"], {"order_total_amount": "decimal(18,2)"})
+    rows = facts.select("event_time", "course_id", measures.money(F.col("final_amount")).alias("order_total_amount"))
+    summed = _windows(rows, fixed.DELAY_LONG, ["course_id"], {"order_total_amount": measures.SUM})
 
     def names(batch: DataFrame) -> DataFrame:
         return dims.dim_snowflake_3(batch, site.dim("dim_course_info", "course_name", "subject_id"),
@@ -253,15 +275,24 @@ def course_orders(site: Site) -> Queries:
 
 
 def _order_group(site: Site, group: str, size: str) -> DataFrame:
-    """Amount of every line, with daily-first flags of its order and of its user within the group."""
+    """Amounts of all lines, and the first lines of the day of orders and of users within the group.
+
+    Amounts pass no state; an order belongs to one group. State forgets an order or user after a day.
+    """
     lines = filters.filter_required_keys(site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL), "user_id", group)
     slim = _in_millis(lines).select("order_id", "user_id", group, "final_amount", "ts")
-    by_order = stateful.daily_first(slim, ["order_id"], keep_all=True).select(
-        *slim.columns, "event_time", F.col("is_first").alias("order_count"))
-    by_user = stateful.daily_first_timed(by_order, ["user_id", group], keep_all=True)
-    rows = by_user.select("event_time", group, F.col("final_amount").cast("decimal(18,2)").alias("order_total_amount"),
-                          F.col("is_first").alias("order_uu_count"), "order_count")
-    return windows.windowed_metric(rows, [group], metrics.ORDER_GROUP_MEASURES, size)
+    none, one, amount = F.lit(0), F.lit(1), "decimal(18,2)"
+
+    def rows(df: DataFrame, total, orders, users) -> DataFrame:
+        return df.select("event_time", group, total.cast(amount).alias("order_total_amount"), orders.alias("order_count"),
+                         users.alias("order_uu_count"))
+
+    def first(key: str) -> DataFrame:
+        return stateful.daily_first(slim.select(key, group, "ts"), [key, group], ttl_ms=fixed.STATE_TTL_MS)
+
+    parts = rows(_timed(slim, "ms"), measures.money(F.col("final_amount")), none, none)
+    parts = parts.unionByName(rows(first("order_id"), none, one, none)).unionByName(rows(first("user_id"), none, none, one))
+    return windows.windowed_metric(parts, [group], metrics.ORDER_GROUP_MEASURES, size)
 
 
 def source_orders(site: Site) -> Queries:
@@ -322,6 +353,7 @@ def exam_question(site: Site) -> Queries:
 
 
 # In the order in which each layer feeds the next.
+CONFIG_JOBS = {"config_tables": config_tables, "dim_tables": dim_tables}
 DIMENSION_JOBS = {"dimensions": dimensions}
 LOG_JOBS = {"base_log": base_log, "base_db": base_db}
 FACT_JOBS = {"unique_visitors": unique_visitors, "user_jumps": user_jumps, "logins": logins, "study_plays": study_plays,
@@ -333,4 +365,4 @@ METRIC_JOBS = {
     "course_orders": course_orders, "source_orders": source_orders, "province_orders": province_orders,
     "course_review": course_review, "exam_paper": exam_paper, "exam_score": exam_score, "exam_question": exam_question,
 }
-LAYERS = [DIMENSION_JOBS, LOG_JOBS, FACT_JOBS, PAYMENT_JOBS, METRIC_JOBS]
+LAYERS = [CONFIG_JOBS, DIMENSION_JOBS, LOG_JOBS, FACT_JOBS, PAYMENT_JOBS, METRIC_JOBS]

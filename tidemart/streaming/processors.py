@@ -1,6 +1,7 @@
 """Keyed state with event-time timers, for transformWithStateInPandas.
 
-Rows arrive as flat frames with `ts` in epoch milliseconds. A processor keeps one small value per key;
+Rows arrive as flat frames with `ts` in epoch milliseconds and, where days matter, `day_no`: the day of ts in the session's time
+zone, counted from 1970. A processor keeps one small value per key;
 timers clear it, so that state does not outlive its use. Within a micro-batch rows count in order of ts.
 """
 
@@ -20,11 +21,7 @@ from .. import fixed
 # Workers get these classes with the query and need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DAY_MS = 86_400_000
-
-
-def _day(ts) -> int:
-    return int(ts) // DAY_MS
+DAY = "day_no"  # a name with a leading underscore would not reach the frames
 
 
 class FixIsNew(StatefulProcessor):
@@ -39,11 +36,11 @@ class FixIsNew(StatefulProcessor):
         waiting = []
         if not self.visit.exists():
             waiting = [f for f in rows if len(f)]
-            first = min((f.loc[f["ts"].idxmin(), ["ts", "is_new"]] for f in waiting), key=lambda r: r["ts"])
-            self.visit.update((_day(first["ts"]) - (0 if first["is_new"] == "1" else 1),))
+            first = min((f.loc[f["ts"].idxmin(), ["ts", DAY, "is_new"]] for f in waiting), key=lambda r: r["ts"])
+            self.visit.update((int(first[DAY]) - (0 if first["is_new"] == "1" else 1),))
         (day,) = self.visit.get()
         for frame in itertools.chain(waiting, rows):
-            wrong = (frame["is_new"] == "1") & (frame["ts"] // DAY_MS != day)
+            wrong = (frame["is_new"] == "1") & (frame[DAY] != day)
             yield frame.assign(is_new=frame["is_new"].mask(wrong, "0"))
 
     def close(self) -> None:
@@ -69,14 +66,15 @@ class DailyFirst(StatefulProcessor):
         # One row per day is held, however many rows the key has.
         firsts: dict[int, pd.DataFrame] = {}
         for frame in rows:
-            for day, of_day in frame.groupby(frame["ts"] // DAY_MS):
+            for day, of_day in frame.groupby(DAY):
                 best = of_day["ts"].idxmin()
                 row, later = of_day.loc[[best]], of_day.drop(index=best)
                 held = firsts.get(int(day))
                 if held is None or row["ts"].iat[0] < held["ts"].iat[0]:
                     firsts[int(day)], row = row, held
                 if self.keep_all:
-                    yield from (f.assign(previous_day=-1, is_first=0) for f in (later, row) if f is not None and len(f))
+                    yield from (f.assign(previous_day=-1, is_first=0).drop(columns=DAY) for f in (later, row)
+                                if f is not None and len(f))
         for day in sorted(firsts):
             row = firsts[day]
             last, at = self.seen.get() if self.seen.exists() else (-1, 0)
@@ -89,7 +87,7 @@ class DailyFirst(StatefulProcessor):
                         self.handle.deleteTimer(at + self.ttl_ms)
                     self.handle.registerTimer(now + self.ttl_ms)
             if is_first or self.keep_all:
-                yield row.assign(previous_day=last, is_first=int(is_first))
+                yield row.assign(previous_day=last, is_first=int(is_first)).drop(columns=DAY)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -110,28 +108,24 @@ class UserJump(StatefulProcessor):
         self.open = handle.getValueState("open", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A micro-batch is bounded by the rate limit of its source.
-        frame = pd.concat(list(rows)).sort_values("ts", kind="stable")
+        # A micro-batch is bounded by the rate limit of its source. The open entry takes its place among the new rows:
+        # some of them may be older.
         names = self.schema.names
-        waiting = self.open.get() if self.open.exists() else None
-        before = waiting
-        out = []
-        for row in frame[names].itertuples(index=False, name=None):
-            record = dict(zip(names, row))
-            if waiting is not None:
-                held = dict(zip(names, waiting))
-                if record["last_page_id"] is None or record["ts"] - held["ts"] >= self.timeout_ms:
-                    out.append(waiting)
-            waiting = row if record["last_page_id"] is None else None
-        at = names.index("ts")
-        if before is not None:
-            self.handle.deleteTimer(int(before[at]) + self.timeout_ms)
-        if waiting is None:
-            self.open.clear()
+        frames = [f[names] for f in rows]
+        if self.open.exists():
+            held = pd.DataFrame([self.open.get()], columns=names)
+            self.handle.deleteTimer(int(held["ts"].iat[0]) + self.timeout_ms)
+            frames.insert(0, held.astype(frames[0].dtypes.to_dict()))
+        frame = pd.concat(frames, ignore_index=True).sort_values("ts", kind="stable", ignore_index=True)
+        entry, ts = frame["last_page_id"].isna().to_numpy(), frame["ts"].to_numpy()
+        jumps = entry[:-1] & (entry[1:] | (ts[1:] - ts[:-1] >= self.timeout_ms))
+        if entry[-1]:
+            self.open.update(tuple(v if v is None or isinstance(v, str) else None if pd.isna(v) else getattr(v, "item", lambda v=v: v)()
+                                   for v in frame.iloc[-1]))
+            self.handle.registerTimer(int(ts[-1]) + self.timeout_ms)
         else:
-            self.open.update(tuple(waiting))
-            self.handle.registerTimer(int(waiting[at]) + self.timeout_ms)
-        yield pd.DataFrame(out, columns=names)
+            self.open.clear()
+        yield frame.iloc[:-1][jumps]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.open.exists():

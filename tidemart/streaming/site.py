@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import jsontext
-from ..sinks.tables import DimStore, MetricTable
+from ..sinks.tables import DimStore, MetricTable, read_or_none
 from ..sources import cdc, readers
 
 # Order of the changes of one dimension row.
@@ -26,14 +26,19 @@ class Site:
     kafka: Mapping[str, str] = field(default_factory=dict)
     # None keeps a job running; the default uses up the present input and ends.
     trigger: Mapping[str, object] = field(default_factory=lambda: {"availableNow": True})
+    # What one micro-batch may take from a topic; state that sorts a device's rows of a micro-batch is bounded by it.
     limits: Mapping[str, str] = field(default_factory=dict)
+    # Batches of dimension changes after which the state is folded.
+    fold_every: int = 100
 
     # Topics -----------------------------------------------------------------------------------------
     def lines(self, topic: str) -> DataFrame:
         """A topic as one text column `value`."""
         if self.kafka:
-            return readers.read_topic(self.spark, "kafka", True, None, subscribe=topic, **self.kafka, **self.limits)
-        return readers.read_topic(self.spark, "text", True, f"{self.root}/topics/*/topic={topic}", **self.limits)
+            limits = self.limits or {"maxOffsetsPerTrigger": "5000000"}
+            return readers.read_topic(self.spark, "kafka", True, None, subscribe=topic, **self.kafka, **limits)
+        limits = self.limits or {"maxFilesPerTrigger": "1000"}
+        return readers.read_topic(self.spark, "text", True, f"{self.root}/topics/*/topic={topic}", **limits)
 
     def facts(self, topic: str, schema: str) -> DataFrame:
         """A fact topic with typed columns; records that do not parse, and delete markers, are skipped.
@@ -44,16 +49,19 @@ class Site:
         return rows.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in typed])
 
     def publish(self, rows: DataFrame, job: str) -> StreamingQuery:
-        """Write (topic, value) rows to their topics."""
-        writer = rows.select("topic", "value").writeStream.outputMode("append").option(
+        """Write (topic, value) rows to their topics, with a `key` column where there is one and the topic is Kafka's."""
+        columns = ["key"] if self.kafka and "key" in rows.columns else []
+        writer = rows.select(*columns, "topic", "value").writeStream.outputMode("append").option(
             "checkpointLocation", f"{self.root}/checkpoints/{job}").queryName(job)
         writer = writer.trigger(**self.trigger) if self.trigger else writer
         if self.kafka:
             return writer.format("kafka").options(**self.kafka).start()
         return writer.format("text").partitionBy("topic").start(f"{self.root}/topics/{job}")
 
-    def publish_json(self, rows: DataFrame, topic: str, job: str) -> StreamingQuery:
-        return self.publish(rows.select(F.lit(topic).alias("topic"), jsontext.record(rows.columns).alias("value")), job)
+    def publish_json(self, rows: DataFrame, topic: str, job: str, key: str | None = None) -> StreamingQuery:
+        """Rows as JSON. With a key column a compacted topic keeps the last row per key."""
+        keyed = [F.col(key).cast("string").alias("key")] if key else []
+        return self.publish(rows.select(*keyed, F.lit(topic).alias("topic"), jsontext.record(rows.columns).alias("value")), job)
 
     # Batches ----------------------------------------------------------------------------------------
     def each_batch(self, rows: DataFrame, job: str, act: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
@@ -63,8 +71,15 @@ class Site:
 
     # Tables -----------------------------------------------------------------------------------------
     def config(self, name: str) -> DataFrame:
-        """Config changes as they are now."""
-        return self.spark.read.parquet(f"{self.root}/config/{name}")
+        """Config rows as they are now: a snapshot, if there is one, and the changes that followed."""
+        parts = [read_or_none(self.spark, f"{self.root}/config/{name}"), self.config_table(name).read_or_none()]
+        found = [p for p in parts if p is not None]
+        if not found:
+            raise ValueError(f"no configuration {name} below {self.root}")
+        return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
+
+    def config_table(self, name: str) -> MetricTable:
+        return MetricTable(self.spark, f"{self.root}/config_changes/{name}")
 
     def dim_store(self) -> DimStore:
         return DimStore(self.spark, f"{self.root}/dims", CHANGE_ORDER)

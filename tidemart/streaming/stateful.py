@@ -1,6 +1,7 @@
 """Streaming forms of the visitor operators.
 
-Input: flat rows with `ts` in epoch milliseconds; event_time and the watermark are added here.
+Input: flat rows with `ts` in epoch milliseconds; event_time, the watermark and the day in the session's time zone are
+added here.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ def _timed(df: DataFrame, delay: str) -> DataFrame:
     return timefmt.with_event_time(df, "ms").withWatermark("event_time", delay)
 
 
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn(processors.DAY, F.unix_date(timefmt.day_of_millis("ts")).cast("long"))
+
+
 def _keyed(df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, event_time: str = "") -> DataFrame:
     for name, value in STATEFUL.items():
         df.sparkSession.conf.set(name, value)
@@ -32,16 +37,17 @@ def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG)
     """Rows with is_new corrected per device.
 
     Only rows that say '1' can change. The others come out as they are; for the state, the earliest of
-    them per device, day and task batch are enough, without their content.
+    them per device, day and task batch are enough, without their content. Rows without key or time stay as they are.
     """
-    says_new = F.coalesce(F.col("is_new") == "1", F.lit(False))
+    dated = F.col(key).isNotNull() & F.col("ts").isNotNull()
+    says_new = F.coalesce(F.col("is_new") == "1", F.lit(False)) & dated
     claims = logs.where(says_new).withColumn("says_new", F.lit(True))
-    known = precombine(logs.where(~says_new).select(key, "ts"), [key])
+    known = precombine(logs.where(~says_new & dated).select(key, "ts"), [key])
     fields = {f.name: f.dataType for f in logs.schema.fields}
     signs = known.select(
         *[F.col(c) if c in (key, "ts") else F.lit("0" if c == "is_new" else None).cast(fields[c]).alias(c) for c in logs.columns],
         F.lit(False).alias("says_new"))
-    timed = _timed(claims.unionByName(signs), delay)
+    timed = _timed(_dated(claims.unionByName(signs)), delay)
     corrected = _keyed(timed, [key], processors.FixIsNew(), timed.schema).where("says_new").select(*logs.columns)
     return logs.where(~says_new).unionByName(corrected)
 
@@ -52,14 +58,13 @@ def precombine(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Works batch by batch inside each task, so a key with a large share of the stream sends on a few
     rows per task instead of all of them.
     """
-    names, day_ms = list(keys), processors.DAY_MS
+    names, day = list(keys), processors.DAY
 
     def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ordered = frame.assign(_day=frame["ts"] // day_ms).sort_values("ts", kind="stable")
-            yield ordered.drop_duplicates([*names, "_day"]).drop(columns="_day")
+            yield frame.sort_values("ts", kind="stable").drop_duplicates([*names, day]).drop(columns=day)
 
-    return df.mapInPandas(least, df.schema)
+    return _dated(df).mapInPandas(least, df.schema)
 
 
 def daily_first(df: DataFrame, keys: Sequence[str], delay: str = fixed.DELAY_LONG, ttl_ms: int | None = None,
@@ -77,7 +82,7 @@ def daily_first_timed(timed: DataFrame, keys: Sequence[str], ttl_ms: int | None
     fields = [f for f in timed.schema.fields if f.name != "event_time"]
     schema = T.StructType([*fields, T.StructField("event_time", T.TimestampType()),
                            T.StructField("previous_day", T.LongType()), T.StructField("is_first", T.IntegerType())])
-    return _keyed(timed, keys, processors.DailyFirst(ttl_ms, keep_all), schema, "event_time")
+    return _keyed(_dated(timed), keys, processors.DailyFirst(ttl_ms, keep_all), schema, "event_time")
 
 
 def is_new_user() -> Column:
@@ -87,7 +92,7 @@ def is_new_user() -> Column:
 
 def is_back() -> Column:
     """1 if the day before lies more than 7 days (from its midnight) back."""
-    away = F.col("ts") - F.col("previous_day") * processors.DAY_MS
+    away = F.col("ts") - F.unix_millis(F.date_from_unix_date(F.col("previous_day").cast("int")).cast("timestamp"))
     return F.when((F.col("previous_day") >= 0) & (away > fixed.RETURN_AFTER_MS), 1).otherwise(0)
 
 
