@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BETA = 0.9
-FLUSH_WORDS = 1_000_000
+FLUSH_WORDS = 300_000
 U64 = np.uint64
 END, START = b" end", b" start"  # no word has a space
 MIX = (U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53), U64(0x9E3779B97F4A7C15))
@@ -65,12 +65,32 @@ def ranges_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Byte planes: the high bytes of small numbers stand together, where the shuffle's compression removes them."""
+    kind = values.dtype.newbyteorder("<")
+    return values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def packed_sorted(hashes: np.ndarray) -> bytes:
+    """Sorted hashes by their distances, which have fewer bytes."""
+    return packed(np.diff(hashes, prepend=U64(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, "<u8"), dtype=U64)
+
+
 def cut_by_range(hashes: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Sorted hashes and their counts, range by range."""
     own = ranges_of(hashes, bits)
     starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
     for a, b in zip(starts, np.append(starts[1:], len(own))):
-        yield int(own[a]), hashes[a:b].astype("<u8").tobytes(), counts[a:b].astype("<u4").tobytes()
+        yield int(own[a]), packed_sorted(hashes[a:b]), packed(counts[a:b].astype("<u4"))
 
 
 def added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,8 +99,8 @@ def added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64), place
 
 
-def _join(column: pa.ChunkedArray, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+def _counts(rows: pa.Table) -> np.ndarray:
+    return np.concatenate([unpacked(c, "<u4") for c in rows.column("counts").to_pylist()])
 
 
 # Unigram statistics ---------------------------------------------------------------------------------------------------
@@ -114,7 +134,7 @@ def _count_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
 
 
 def _range_sums(rows: pa.Table) -> pa.Table:
-    _, total, _ = added(_join(rows.column("hashes"), "<u8"), _join(rows.column("counts"), "<u4"))
+    _, total, _ = added(np.concatenate([unpacked_sorted(h) for h in rows.column("hashes").to_pylist()]), _counts(rows))
     return pa.table({"tokens": [int(total.sum())], "words": [len(total)], "once": [int((total == 1).sum())]})
 
 
@@ -172,10 +192,10 @@ def _ask(bits: int):
 
 
 def _answer(rows: pa.Table) -> pa.Table:
-    hashes = [np.frombuffer(h, "<u8") for h in rows.column("hashes").to_pylist()]
-    _, total, place = added(np.concatenate(hashes), _join(rows.column("counts"), "<u4"))
+    hashes = [unpacked_sorted(h) for h in rows.column("hashes").to_pylist()]
+    _, total, place = added(np.concatenate(hashes), _counts(rows))
     answers = np.split(total[place].astype("<u4"), np.cumsum([len(h) for h in hashes])[:-1])
-    return pa.table([rows.column("block"), rows.column("range"), pa.array([a.tobytes() for a in answers], pa.binary())],
+    return pa.table([rows.column("block"), rows.column("range"), pa.array([packed(a) for a in answers], pa.binary())],
                     names=["block", "range", "totals"])
 
 
@@ -218,7 +238,7 @@ def _score(tokens: int, words: int, once: int, beta: float):
         found = Block(rows)
         order = np.argsort(answers.column("range").to_numpy())
         blobs = answers.column("totals").to_pylist()
-        counts, pair_counts = found.totals(np.frombuffer(b"".join(blobs[i] for i in order), "<u4").astype(np.int64))
+        counts, pair_counts = found.totals(np.concatenate([unpacked(blobs[i], "<u4") for i in order]).astype(np.int64))
         start, end = found.vocabulary[START], found.vocabulary[END]
         if counts[start]:  # it was counted among the words for convenience only
             counts[start] = 0

@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
-from .lm import U64, Vocabulary, ranges_of
+from .lm import U64, Vocabulary, packed, packed_sorted, ranges_of, unpacked, unpacked_sorted
 
 WINDOW = 50
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 NO_ID = np.iinfo(np.int64).max
@@ -92,7 +92,7 @@ def _lesser(hashes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
 
 
 def asked(hashes: np.ndarray, ids: np.ndarray, bits: int) -> list[tuple[int, bytes, bytes, bytes]]:
-    """(range, hashes, smallest ids, largest ids) of the distinct hashes."""
+    """(range, hashes, smallest ids, what the largest ids lie above them) of the distinct hashes."""
     order = np.lexsort((ids, hashes))
     hashes, ids = hashes[order], ids[order]
     first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else np.zeros(0, np.int64)
@@ -100,18 +100,18 @@ def asked(hashes: np.ndarray, ids: np.ndarray, bits: int) -> list[tuple[int, byt
     hashes, low, high = hashes[first], ids[first], ids[last] if len(first) else ids
     own = ranges_of(hashes, bits)
     cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
-    return [(int(own[a]), hashes[a:b].tobytes(), low[a:b].tobytes(), high[a:b].tobytes())
+    return [(int(own[a]), packed_sorted(hashes[a:b]), packed(low[a:b]), packed(high[a:b] - low[a:b]))
             for a, b in zip(cuts, np.append(cuts[1:], len(own)))]
 
 
-ASK = "block long, range long, hashes binary, low binary, high binary"
+ASK = "block long, range long, hashes binary, low binary, above binary"
 
 
 def _ask_table(block: int, rows: list) -> pa.Table:
     columns = list(zip(*rows)) or [[], [], [], []]
     types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.table([pa.array([block] * len(rows), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))],
-                    names=["block", "range", "hashes", "low", "high"])
+                    names=["block", "range", "hashes", "low", "above"])
 
 
 def _ask_anchors(window: int, bits: int):
@@ -125,9 +125,10 @@ def _ask_anchors(window: int, bits: int):
 
 
 def _combined(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    hashes = [np.frombuffer(h, "<u8") for h in rows.column("hashes").to_pylist()]
-    highs = [np.frombuffer(h, "<i8") for h in rows.column("high").to_pylist()]
-    low = np.frombuffer(b"".join(rows.column("low").to_pylist()), "<i8")
+    hashes = [unpacked_sorted(h) for h in rows.column("hashes").to_pylist()]
+    lows = [unpacked(x, "<i8") for x in rows.column("low").to_pylist()]
+    highs = [x + unpacked(a, "<i8") for x, a in zip(lows, rows.column("above").to_pylist())]
+    low = np.concatenate(lows)
     distinct, place = np.unique(np.concatenate(hashes), return_inverse=True)
     least, most = np.full(len(distinct), NO_ID), np.full(len(distinct), np.iinfo(np.int64).min)
     np.minimum.at(least, place, low)
@@ -139,7 +140,7 @@ def _answer_anchors(rows: pa.Table) -> pa.Table:
     """Per block the anchors that two documents have."""
     hashes, _, least, most, place = _combined(rows)
     shared = np.split((least < most)[place], np.cumsum([len(h) for h in hashes])[:-1])
-    return pa.table([rows.column("block"), pa.array([h[s].tobytes() for h, s in zip(hashes, shared)], pa.binary())],
+    return pa.table([rows.column("block"), pa.array([packed_sorted(h[s]) for h, s in zip(hashes, shared)], pa.binary())],
                     names=["block", "hashes"])
 
 
@@ -149,7 +150,7 @@ def _ask_windows(window: int, bits: int):
             return _ask_table(0, [])
         found = Block(rows)
         hashes, anchor = found.anchors(window)
-        known = np.sort(np.frombuffer(b"".join(shared.column("hashes").to_pylist()), "<u8"))
+        known = np.sort(_joined(shared, "hashes", unpacked_sorted, U64))
         survives = np.append(contained(hashes, known), False)
         at = np.flatnonzero(survives[anchor])
         full, _ = found.windows(window)
@@ -158,6 +159,10 @@ def _ask_windows(window: int, bits: int):
     return ask
 
 
+def _joined(rows: pa.Table, column: str, read, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *map(read, rows.column(column).to_pylist())])
+
+
 def contained(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
         return np.zeros(len(values), bool)
@@ -170,8 +175,8 @@ def _answer_windows(rows: pa.Table) -> pa.Table:
     hashes, highs, least, _, place = _combined(rows)
     low = np.split(least[place], np.cumsum([len(h) for h in hashes])[:-1])
     return pa.table([rows.column("block"),
-                     pa.array([h[a < b].tobytes() for h, a, b in zip(hashes, low, highs)], pa.binary()),
-                     pa.array([a[a < b].tobytes() for a, b in zip(low, highs)], pa.binary())],
+                     pa.array([packed_sorted(h[a < b]) for h, a, b in zip(hashes, low, highs)], pa.binary()),
+                     pa.array([packed(a[a < b]) for a, b in zip(low, highs)], pa.binary())],
                     names=["block", "hashes", "low"])
 
 
@@ -180,8 +185,8 @@ def _remove(window: int):
         found = Block(rows)
         covered = np.zeros(len(found.doc) + 1, np.int64)
         hashes, inside = found.windows(window)
-        have = np.frombuffer(b"".join(known.column("hashes").to_pylist()), "<u8")
-        low = np.frombuffer(b"".join(known.column("low").to_pylist()), "<i8")
+        have = _joined(known, "hashes", unpacked_sorted, U64)
+        low = _joined(known, "low", lambda data: unpacked(data, "<i8"), np.int64)
         if len(have) and len(hashes):
             order = np.argsort(have)
             have, low = have[order], low[order]
