@@ -122,14 +122,40 @@ def stream_fix_is_new(spark, sf):
     return finished(spark, stateful.fix_is_new(_flat_pages(spark, sf)).select("event_id", "mid", "ts", "is_new"))
 
 
-@query("state_ttl", with_inputs("pages", """
+@query("stream_unique_visitor", with_inputs("pages", """
   SELECT event_id, mid, page_id, ts FROM pages WHERE last_page_id IS NULL
   QUALIFY row_number() OVER (PARTITION BY mid, ts // 86400000 ORDER BY ts, event_id) = 1"""))
-def state_ttl(spark, sf):
-    """Daily unique visitors with state that is cleared a day after its last write."""
+def stream_unique_visitor(spark, sf):
+    """Daily unique visitors."""
     return finished(spark, stateful.unique_visitor_daily(_flat_pages(spark, sf)).select("event_id", "mid", "page_id", "ts"))
 
 
+DAY_MS = 86_400_000
+
+
+@query("state_ttl", with_inputs("pages", f"""
+  SELECT event_id, mid, ts,
+         CASE WHEN last_ts IS NULL OR ts >= half AND last_ts < half AND last_ts + {DAY_MS} <= passed THEN -1
+              ELSE last_ts // {DAY_MS} END AS previous_day
+  FROM (SELECT *, lag(ts) OVER (PARTITION BY mid ORDER BY ts, event_id) AS last_ts FROM (
+          SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY mid, ts // {DAY_MS} ORDER BY ts, event_id) = 1)),
+       (SELECT half, max(ts) - 5000 AS passed FROM entries, (SELECT (min(ts) + max(ts)) // 2 AS half FROM entries)
+        WHERE ts < half GROUP BY half)""", entries="SELECT event_id, mid, ts FROM pages WHERE last_page_id IS NULL"))
+def state_ttl(spark, sf):
+    """First entry per device and day with the day before it that the state knows. The two halves of the time are two
+    runs of one stream: between them the state of devices that were away for a day is forgotten."""
+    path = shared_folder(spark, "ttl")
+    rows = inputs.pages(spark, sf).where(F.col("page.last_page_id").isNull()).select("event_id", "common.mid", "ts")
+    ends = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    half = F.col("ts") >= (ends.low + ends.high) // 2
+    for part in (~half, half):
+        rows.where(part).write.mode("append").parquet(f"{path}/in")
+        timed = windows.watermarked(timefmt.with_event_time(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), "ms"), "5 seconds")
+        first = stateful.daily_first_timed(timed, ["mid"], DAY_MS).select("event_id", "mid", "ts", "previous_day")
+        runs.to_files(first, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return spark.read.schema(first.schema).parquet(f"{path}/rows")
+
+
 @query("stream_user_jump", with_inputs("pages", """
   SELECT event_id, mid, page_id, ts
   FROM (SELECT *, lead(ts) OVER w AS next_ts, lead(last_page_id IS NULL) OVER w AS next_entry
