@@ -169,7 +169,7 @@ def test_hot_user_in_order_metric(spark):
     rows = spark.range(0, 20_000, numPartitions=8).select(
         i.cast("string").alias("id"), F.when(i % 3 == 0, "hot").otherwise((i % 700).cast("string")).alias("order_id"),
         F.when(i % 3 == 0, "hotuser").otherwise((i % 90).cast("string")).alias("user_id"),
-        (i % 4).cast("string").alias("source_id"), F.lit("1.50").alias("final_amount"), (F.lit(T0 // 1000) + i * 13).alias("ts"))
+        F.when(i % 3 == 0, "0").otherwise((i % 4).cast("string")).alias("source_id"), F.lit("1.50").alias("final_amount"), (F.lit(T0 // 1000) + i * 13).alias("ts"))
     source = spark.createDataFrame([("0", "zero")], "id string, source_site string")
     lines = rows.collect()
     amount, users, orders = collections.Counter(), collections.Counter(), collections.Counter()
