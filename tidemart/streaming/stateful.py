@@ -41,13 +41,16 @@ def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG)
     """
     dated = F.col(key).isNotNull() & F.col("ts").isNotNull()
     says_new = F.coalesce(F.col("is_new") == "1", F.lit(False)) & dated
-    claims = logs.where(says_new).withColumn("says_new", F.lit(True))
-    known = precombine(logs.where(~says_new & dated).select(key, "ts"), [key])
-    fields = {f.name: f.dataType for f in logs.schema.fields}
-    signs = known.select(
-        *[F.col(c) if c in (key, "ts") else F.lit("0" if c == "is_new" else None).cast(fields[c]).alias(c) for c in logs.columns],
-        F.lit(False).alias("says_new"))
-    timed = _timed(_dated(claims.unionByName(signs)), delay)
+    slim = logs.where(dated).select(
+        *[F.col(c) if c in (key, "ts") else F.when(says_new, F.col(c)).alias(c) for c in logs.columns], says_new.alias("says_new"))
+    marked, day = _dated(slim), processors.DAY
+
+    def lighten(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            signs = frame[~frame["says_new"]].sort_values("ts", kind="stable").drop_duplicates([key, day])
+            yield pd.concat([frame[frame["says_new"]], signs.assign(is_new="0")])
+
+    timed = _timed(marked.mapInPandas(lighten, marked.schema), delay)
     corrected = _keyed(timed, [key], processors.FixIsNew(), timed.schema).where("says_new").select(*logs.columns)
     return logs.where(~says_new).unionByName(corrected)
 
