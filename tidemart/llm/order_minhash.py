@@ -10,7 +10,7 @@ equal fingerprints. Any text is taken whole, in about 40 bytes of memory a chara
 `compare_neighbours` sorts documents by descending id (nulls last, ties by a hash of the text) and compares each with
 its edit and with the document that follows. Documents are dealt by id ranges and sorted within; each task reads its range
 once and holds one document. The first and last document of each range are written out, and joined with those of the next
-range. Texts go through the shuffle once; only a few per range go on. Empty tables give empty results.
+range. Texts go through the shuffle once, compressed one by one; only a few per range go on. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -19,10 +19,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_or_empty, written
 
@@ -95,12 +98,22 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.mean(a == b))
 
 
+def as_bytes(values: np.ndarray) -> bytes:
+    return values.astype(">u2").tobytes()
+
+
+def from_bytes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, ">u2")
+
+
 def as_text(values: np.ndarray) -> str:
-    return values.astype(">u2").tobytes().hex()
+    return as_bytes(values).hex()
 
 
-def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u2")
+@F.pandas_udf(T.BinaryType())
+def compressed(text: pd.Series) -> pd.Series:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return text.map(lambda t: pack(t.encode("utf-8", "surrogatepass")))
 
 
 def edited(text: str, next_: str) -> str:
@@ -112,19 +125,21 @@ def edited(text: str, next_: str) -> str:
 def _result(text: str, own: np.ndarray, next_: str, after: np.ndarray) -> tuple:
     edit = edited(text, next_)
     changed = signature(edit)
-    return (len(text), hashlib.sha256(edit.encode("utf-8", "surrogatepass")).hexdigest(), as_text(own), as_text(changed),
+    return (len(text), hashlib.sha256(edit.encode("utf-8", "surrogatepass")).digest(), as_bytes(own), as_bytes(changed),
             likeness(own, changed), likeness(own, after))
 
 
-RESULT = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+RESULT = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, "
           "near_next double")
-RESULT_FIELDS = [("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                 ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+RESULT_FIELDS = [("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+                 ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def _range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted documents in; a result for each but the last, and the first and last as they are (edge f, l)."""
     part, held, schema = TaskContext.get().partitionId(), None, None
+    unpack = zstandard.ZstdDecompressor().decompress
     rows: list[tuple] = []
 
     def out() -> pa.RecordBatch:
@@ -135,24 +150,25 @@ def _range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         schema = schema or pa.schema([("doc_id", batch.schema.field(0).type), *RESULT_FIELDS, ("part", pa.int64()),
                                       ("edge", pa.string()), ("text", pa.string())])
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            text = unpack(data).decode("utf-8", "surrogatepass")
             own = signature(text)
             if held is None:
-                rows.append((doc_id, len(text), None, as_text(own), None, None, None, part, "f", text))
+                rows.append((doc_id, len(text), None, as_bytes(own), None, None, None, part, "f", text))
             else:
                 rows.append((held[0], *_result(held[1], held[2], text, own), part, None, None))
             held = doc_id, text, own
             if len(rows) >= 2000:
                 yield out()
     if held is not None:
-        rows.append((held[0], len(held[1]), None, as_text(held[2]), None, None, None, part, "l", held[1]))
+        rows.append((held[0], len(held[1]), None, as_bytes(held[2]), None, None, None, part, "l", held[1]))
         yield out()
 
 
 def _stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts, prints, next_texts, next_prints = (batch.column(i).to_pylist() for i in range(5))
-        found = [(i, *_result(t, from_text(p), nt, from_text(np_)))
+        found = [(i, *_result(t, from_bytes(p), nt, from_bytes(np_)))
                  for i, t, p, nt, np_ in zip(ids, texts, prints, next_texts, next_prints)]
         schema = pa.schema([("doc_id", batch.schema.field(0).type), *RESULT_FIELDS])
         columns = list(zip(*found)) or [()] * len(schema)
@@ -164,9 +180,10 @@ def compare_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text",
     thin = docs.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text"))
     size = thin.agg(F.sum(F.octet_length("text").cast("long") + 8)).first()[0] or 0
     parts = max(1, -(-size // range_bytes))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
+    packed = thin.select("doc_id", compressed("text").alias("packed"), F.xxhash64("text").alias("tie"))
     id_type = thin.schema["doc_id"].dataType.simpleString()
-    done = written(thin.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
+    done = written(packed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie").mapInArrow(
         _range, f"doc_id {id_type}, {RESULT}, part long, edge string, text string"), "neighbours")
     inner = done.where(F.col("edge").isNull()).drop("part", "edge", "text")
     first = done.where("edge = 'f'").select(F.col("part").alias("next"), F.col("text").alias("next_text"),
@@ -176,4 +193,5 @@ def compare_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text",
                                                 F.min("next").over(Window.partitionBy())).alias("next"))
     last = done.where("edge = 'l'").join(follows, "part").join(first, "next").select(
         "doc_id", "text", "fingerprint", "next_text", "next_print")
-    return inner.unionByName(last.mapInArrow(_stitch, f"doc_id {id_type}, {RESULT}"))
+    found = inner.unionByName(last.mapInArrow(_stitch, f"doc_id {id_type}, {RESULT}"))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in HEX})
