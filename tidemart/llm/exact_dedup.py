@@ -26,10 +26,14 @@ MAX_BITS = 1 << 31  # 256 MB: the most that is ever broadcast
 SEGMENT = 1 << 16
 
 
+def text_sha256(text: str | None) -> bytes:
+    """SHA-256 of the UTF-8 text with A-Z lower-cased; bytes.lower() touches nothing else."""
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass").lower() if text else b"").digest()
+
+
 @F.pandas_udf(T.BinaryType())
 def normalised_sha256(text: pd.Series) -> pd.Series:
-    """SHA-256 of the UTF-8 text with A-Z lower-cased; bytes.lower() touches nothing else."""
-    return text.map(lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass").lower() if s else b"").digest())
+    return text.map(text_sha256)
 
 
 def slot_of(hashes: pd.Series, bits: int) -> np.ndarray:
@@ -77,30 +81,40 @@ def repeated_slots(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
 
 
 def possibly_repeated(hashes: DataFrame, column: str, rows: int, max_bits: int = MAX_BITS):
-    """A column expression for pass two: may this row's hash occur again?"""
+    """Column expressions for pass two: may this row's hash occur again? And the same from the text, with its hash."""
     bits = filter_bits(rows, max_bits)
     bitmap = hashes.sparkSession.sparkContext.broadcast(repeated_slots(hashes, column, bits))
 
+    def found(hash_: pd.Series) -> np.ndarray:
+        slots = slot_of(hash_, bits)
+        return (bitmap.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
     @F.pandas_udf(T.BooleanType())
     def look_up(hash_: pd.Series) -> pd.Series:
-        slots = slot_of(hash_, bits)
-        return pd.Series((bitmap.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1)
+        return pd.Series(found(hash_))
+
+    @F.pandas_udf(T.StructType([T.StructField("hash", T.BinaryType()), T.StructField("maybe", T.BooleanType())]))
+    def look_up_text(text: pd.Series) -> pd.DataFrame:  # one Python worker a task, not one per function
+        hash_ = text.map(text_sha256)
+        return pd.DataFrame({"hash": hash_, "maybe": found(hash_)})
 
-    return look_up
+    # Filters on it must not be pushed below the column: they would evaluate it a second time, in a second worker.
+    return look_up.asNondeterministic(), look_up_text.asNondeterministic()
 
 
 def mark(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     thin = written(docs.select(F.col(key).alias("doc_id"), normalised_sha256(text).alias("hash"),
                                F.monotonically_increasing_id().alias("row")), "hashes")
-    maybe = possibly_repeated(thin, "hash", thin.count(), max_bits)
+    maybe, _ = possibly_repeated(thin, "hash", thin.count(), max_bits)
     marked = thin.withColumn("maybe", maybe("hash"))
     alone = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "hash")
     rest = marked.where("maybe").select("doc_id", "row", "hash")
-    groups = rest.groupBy("hash").agg(F.count(F.lit(1)).alias("group_size"),
-                                      F.max(F.struct("doc_id", "row")).alias("last"))
+    # Written, so that the join meets two shuffled sides: then Spark cuts the partition of a very large group.
+    groups = written(rest.groupBy("hash").agg(F.count(F.lit(1)).alias("group_size"),
+                                              F.max(F.struct("doc_id", "row")).alias("last")), "hashes")
     grouped = rest.join(groups, "hash").select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("last.row")).alias("kept"), "hash")
@@ -115,10 +129,10 @@ def keep_last(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits
     hash before the shuffle.
     """
     columns = docs.columns
-    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("body"), normalised_sha256(text).alias("hash"))
-    hashes = written(body.select("hash"), "hashes")
-    maybe = possibly_repeated(hashes, "hash", hashes.count(), max_bits)
-    marked = body.withColumn("maybe", maybe("hash"))
+    hashes = written(docs.select(normalised_sha256(text).alias("hash")), "hashes")
+    _, maybe = possibly_repeated(hashes, "hash", hashes.count(), max_bits)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("body"), maybe(text).alias("found")).select(
+        "body", "found.*")
     alone = marked.where(~F.col("maybe")).select("body")
     plain = [f"body.`{f.name}`" for f in docs.schema.fields
              if f.dataType.typeName() in ("byte", "short", "integer", "long", "double", "float", "string", "boolean")]
