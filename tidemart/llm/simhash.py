@@ -56,12 +56,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 @F.pandas_udf(T.LongType())
-def simhash(text: pd.Series) -> pd.Series:
-    """The fingerprint as a signed long."""
+def _simhash(text: pd.Series) -> pd.Series:
     prints = [fingerprint(t.encode("utf-8", "surrogatepass") if t else b"") for t in text]
     return pd.Series(np.array(prints, dtype=np.uint64).view(np.int64))
 
 
+# The fingerprint as a signed long. It depends on the text alone, but filters on it (such as a join's test for null) must not
+# be pushed below the column: they would evaluate it a second time, in a second Python worker.
+simhash = _simhash.asNondeterministic()
+
+
 def planes(prints: np.ndarray) -> np.ndarray:
     """64 x words: bit k of word w in plane j is bit j of fingerprint 64 w + k."""
     full = np.zeros(-(-len(prints) // 64) * 64, dtype="<u8")
