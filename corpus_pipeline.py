@@ -20,34 +20,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import exact_dedup, langid, mixing, packing, queries, simhash
-from tidemart.llm.common import table, written
-from tidemart.session import tune
+from tidemart.llm.common import prepared, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tune(spark)
+    prepared(spark)
     return langid.keep_known(docs, queries.language_model(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tune(spark)
+    prepared(spark)
     return exact_dedup.keep_last(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tune(spark)
+    prepared(spark)
     return simhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tune(spark)
+    prepared(spark)
     return mixing.mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tune(spark)
+    prepared(spark)
     return packing.pack(docs, queries.tokenizer_path())
 
 
@@ -59,7 +58,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

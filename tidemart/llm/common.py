@@ -7,13 +7,19 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import shared_folder, tune
 
 # Fixed value: the white space between words. bytes.split() cuts at the same six characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings of the operators here: texts are long, so a batch that goes to Python has few rows."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,8 +28,8 @@ WINDOW = 4096
 OPEN_WINDOWS = 64
 FAN_IN = 64
 END_ID = 2
-CACHED_WORDS = 400_000
-CACHED_STEMS = 1_000_000
+CACHED_WORDS = 200_000
+CACHED_STEMS = 600_000
 TAIL = b".,!?;:*#%$&"
 BATCH_ROWS = 20_000
 

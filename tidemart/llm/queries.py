@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import tune
 from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, pii, simhash, substrings
-from .common import learned, table
+from .common import learned, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,18 +18,18 @@ def language_model(docs: DataFrame) -> langid.Model | None:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     told = langid.predict(docs, language_model(docs))
     return docs.select("doc_id", learned("doc_id", 5, 0).alias("held_out"), told.alias("told")).select(
         "doc_id", "held_out", "told.*")
 
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(tune(spark), sf_dir, "documents"), learned("doc_id", 7, 2))
+    return lm.score(table(prepared(spark), sf_dir, "documents"), learned("doc_id", 7, 2))
 
 
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.compare_neighbours(table(tune(spark), sf_dir, "documents"))
+    return order_minhash.compare_neighbours(table(prepared(spark), sf_dir, "documents"))
 
 
 def substring_digest(found: DataFrame) -> DataFrame:
@@ -38,22 +37,22 @@ def substring_digest(found: DataFrame) -> DataFrame:
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_digest(substrings.remove_repeats(table(tune(spark), sf_dir, "documents")))
+    return substring_digest(substrings.remove_repeats(table(prepared(spark), sf_dir, "documents")))
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.main_text(table(tune(spark), sf_dir, "pages"))
+    return html_text.main_text(table(prepared(spark), sf_dir, "pages"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key comes from the session; without one a public test key makes runs comparable, but hides nothing."""
     secret = spark.conf.get("spark.tidemart.pii.key", "public test key").encode()
-    found = pii.pseudonymise(table(tune(spark), sf_dir, "documents"), secret)
+    found = pii.pseudonymise(table(prepared(spark), sf_dir, "documents"), secret)
     return found.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), "found")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.mark(table(tune(spark), sf_dir, "documents"))
+    return exact_dedup.mark(table(prepared(spark), sf_dir, "documents"))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -63,15 +62,15 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.balance(table(tune(spark), sf_dir, "documents"))
+    return mixing.balance(table(prepared(spark), sf_dir, "documents"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(tune(spark), sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(prepared(spark), sf_dir, "documents"), tokenizer_path())
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(tune(spark), sf_dir, "documents"))
+    return simhash.near_duplicates(table(prepared(spark), sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
