@@ -22,7 +22,7 @@ HEADLINE = [
     "dws_keyword", "dws_traffic_vc_source_province_new", "dws_page_view", "dws_chapter_play", "dws_user_login",
     "dws_user_register", "dws_cart_add", "dws_order_users", "dws_pay_users", "dws_course_orders", "dws_source_orders",
     "dws_province_orders", "dws_course_review", "dws_exam_paper", "dws_exam_score", "dws_exam_question",
-    "watermark_bounded",
+    "watermark_bounded", "join_payment_detail", "order_daily_flag", "stream_user_jump", "stream_fix_is_new", "stream_cart_add",
 ]
 
 
