@@ -37,6 +37,47 @@ def test_all_else_stays(text):
     assert new(text) == text
 
 
+def iban(country, account):
+    return f"{country}{98 - pii._mod97(f'{country}00{account}'):02d}{account}"
+
+
+@pytest.mark.parametrize("country, account", [
+    ("ES", "21000418450200051332"), ("BE", "539007547034"), ("PL", "109010140000071219812874"), ("AT", "1904300234573201"),
+    ("SE", "50000000058398257466"), ("CZ", "65080000192000145399"), ("LU", "0019400644750000"), ("DE", "370400440532013000")])
+@pytest.mark.parametrize("after", ["", " and", " AND", " IBAN", " I am", " 1234", " A1", ", and", " THE END"])
+def test_ibans_before_another_word(country, account, after):
+    plain = iban(country, account)
+    text = " ".join(re.findall(".{1,4}", plain))
+    changed = new(f"pay {text}{after}")
+    assert changed.startswith("pay ") and changed.endswith(after) and len(changed) == len(f"pay {text}{after}")
+    assert changed[4:len(changed) - len(after)].replace(" ", "") == P.iban(plain)
+
+
+def test_values_behind_a_failed_match():
+    assert new("AB12 CDEF 4111 1111 1111 1111") == f"AB12 CDEF {P.card('4111 1111 1111 1111')}"
+    assert new("1234 4111 1111 1111 1111") == f"1234 {P.card('4111 1111 1111 1111')}"
+
+
+def test_dates_with_a_time():
+    for day in ("1984-02-29", "2024/05/01"):
+        assert new(f"at {day}T10:00Z") == f"at {P.date(day)}T10:00Z"
+    assert new("1984-02-30T10:00Z") == "1984-02-30T10:00Z" and new("1984-02-29Tx") == "1984-02-29Tx"
+
+
+@pytest.mark.parametrize("phone", ["+49 30 1234567", "+1 212 555 0100", "+44 20 7946 0958", "+33 1 23 45 67 89", "+1 (212) 555-0100", "+41 44 668 18 00"])
+def test_phones_before_another_number(phone):
+    for day in ("2024-05-01", "01.05.2024", "5/1/2024"):
+        assert new(f"{phone} {day}") == f"{P.phone(phone)} {P.date(day)}"
+    for after in (" 12345 items", " 2024", ", 17", " x"):
+        assert new(phone + after) == P.phone(phone) + after
+    assert new("+49 171 12 34 56 78") == P.phone("+49 171 12 34 56 78")
+
+
+def test_failed_matches_take_linear_time():
+    for bad in ("4111 " * 5_000, "ES91 " * 5_000, "+49 30 " * 5_000):
+        assert len(new(bad)) == len(bad)
+
+
 def test_pseudonyms_validate_and_stay_linked():
     for i in range(200):
         body = f"4{i:014d}"

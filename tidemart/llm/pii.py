@@ -3,7 +3,9 @@
 A value counts only if it validates: payment cards by length and Luhn digit, IBANs modulo 97, dates by the calendar (1900
 to 2099), US social security numbers by their reserved ranges, IPv4 addresses by their octets, telephone numbers by a
 country code or the three-three-four layout, e-mail addresses by their syntax, hexadecimal secrets by the label in front.
-All else stays as it is: a sixteen-digit number with a wrong check digit is no card.
+All else stays as it is: a sixteen-digit number with a wrong check digit is no card. A pattern may take in the word or number
+that follows, so an IBAN is cut to the length of its country, a telephone number ends before a date and where its country's
+numbers end, and where no end validates the search goes on after the first character.
 
 The value becomes a number below the count N of values of its kind and format, is permuted among them, and is printed in the
 layout it had. Check digits are computed anew, so the pseudonym validates too. The permutation depends on the key, the
@@ -36,14 +38,27 @@ CANDIDATE = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+\-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9]))"
     r"|(?P<label>\b(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key|key)\b[\"']?\s*[=:]\s*[\"']?)"
     r"(?P<secret>[0-9a-fA-F]{16,128})(?![0-9A-Za-z])"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9]))"
+    r"|(?P<iban>(?-i:(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d(?:[ .\-]?\d){5,12}(?![\d])"
     r"|(?<![\w.\-])(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[.\-]\d{4}(?![\w\-]))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
     r"|(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))"
-    r"|(?P<date>(?<![\w.\-/])(?:\d{4}(?P<d1>[\-/.])\d{1,2}(?P=d1)\d{1,2}|\d{1,2}(?P<d2>[\-/.])\d{1,2}(?P=d2)\d{4})(?![\w\-/]|\.\d))"
+    r"|(?P<date>(?<![\w.\-/])(?:\d{4}(?P<d1>[\-/.])\d{1,2}(?P=d1)\d{1,2}|\d{1,2}(?P<d2>[\-/.])\d{1,2}(?P=d2)\d{4})(?:(?=T\d)|(?![\w\-/]|\.\d)))"
     r"|(?P<card>(?<![\w.\-])(?:\d{4}(?P<c1>[ \-])\d{4}(?P=c1)\d{4}(?P=c1)\d{4}|\d{4}(?P<c2>[ \-])\d{6}(?P=c2)\d{5}|\d{13,19})(?![\w\-]|\.\d))", re.I)
 POSSIBLE = re.compile(r"[0-9@]")
+DATE = re.compile(r"(?:\d{4}([\-/.])\d{1,2}\1\d{1,2}|\d{1,2}([\-/.])\d{1,2}\2\d{4})(?!\d)")
+
+# Characters of an IBAN by country.
+IBAN_LENGTH = {country: int(n) for n, countries in (
+    entry.split(":") for entry in (
+        "15:NO 16:BE 18:DK,FO,FI,GL,NL,SD,FK 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK,MN 21:CH,HR,LI,LV "
+        "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+        "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA "
+        "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for country in countries.split(",")}
+# Digits of an international telephone number, country code included, where a country has one length.
+PHONE_LENGTH = {"1": 11, "7": 11, "30": 12, "31": 11, "33": 11, "34": 11, "41": 11, "44": 12, "45": 10, "47": 10, "48": 11,
+                "61": 11, "90": 12, "91": 12, "351": 12, "380": 12, "420": 12, "421": 12}
+COMPLETE = 11  # digits after which, in other countries, a number of three digits or more is a new one
 
 
 class Pseudonyms:
@@ -193,6 +208,46 @@ def _laid_out(text: str, value: str) -> str:
     return "".join((next(new).upper() if c.isupper() else next(new)) if c.isascii() and c.isalnum() else c for c in text)
 
 
+def _phone_end(text: str, pseudonyms: Pseudonyms, after: str) -> int:
+    """Where the number ends at the latest: before a date, and before a number that follows a complete one."""
+    digits = re.sub(r"\D", "", text)
+    length = next((PHONE_LENGTH[digits[:n]] for n in (1, 2, 3) if digits[:n] in PHONE_LENGTH), None)
+    for gap in re.finditer(r" (?=(\d+))", text):
+        before = text[:gap.start()]
+        n = sum(map(str.isdigit, before))
+        day = DATE.match(text + after, gap.end())
+        if n >= 8 and day and pseudonyms.date(day[0]):
+            return gap.start()
+        pairs = len(gap[1]) < 3 and len(re.search(r"\d*$", before)[0]) < 3
+        if n >= (length or COMPLETE) and not pairs or n == length:
+            return gap.start()
+    return len(text)
+
+
+def _ends(kind: str, text: str, pseudonyms: Pseudonyms, after: str) -> Iterator[int]:
+    """Ends to try, the likeliest first: a value ends with the match, or before a space in it."""
+    latest = len(text)
+    if kind == "iban":
+        places = [i for i, c in enumerate(text, 1) if c != " "]
+        length = IBAN_LENGTH.get(text[:2], 99)
+        if length < len(places) and text[places[length - 1]] == " ":
+            yield places[length - 1]
+    elif kind == "phone" and text[0] == "+":
+        latest = _phone_end(text, pseudonyms, after)
+    yield latest
+    if kind == "phone":
+        yield from (i for i in range(latest - 1, 0, -1) if text[i] == " ")
+
+
+def _valid(kind: str, text: str, pseudonyms: Pseudonyms, after: str) -> tuple[int, str] | None:
+    """The end of the value in the match, and its pseudonym; None where no end validates."""
+    for end in _ends(kind, text, pseudonyms, after):
+        new = getattr(pseudonyms, kind)(text[:end])
+        if new is not None:
+            return end, new
+    return None
+
+
 def replaced(text: str, pseudonyms: Pseudonyms) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and what was found: kind, start and end in the result."""
     if not POSSIBLE.search(text):
@@ -200,17 +255,19 @@ def replaced(text: str, pseudonyms: Pseudonyms) -> tuple[str, list[dict]]:
     out, found, at = [], [], 0
     for line in text.split("\n"):
         if POSSIBLE.search(line):
-            parts, last, start = [], 0, at
-            for m in CANDIDATE.finditer(line):
+            parts, last, start, scan = [], 0, at, 0
+            while m := CANDIDATE.search(line, scan):
                 kind = m.lastgroup
-                new = getattr(pseudonyms, kind)(m[kind])
-                if new is None:
+                valid = _valid(kind, m[kind], pseudonyms, line[m.end():m.end() + 10])
+                if valid is None:
+                    scan = m.start() + 1
                     continue
+                end, new = valid
                 parts += [line[last:m.start(kind)], new]
                 start += m.start(kind) - last
                 found.append({"kind": kind, "start": start, "end": start + len(new)})
                 start += len(new)
-                last = m.end(kind)
+                last = scan = m.start(kind) + end
             line = "".join([*parts, line[last:]])
         out.append(line)
         at += len(line) + 1
