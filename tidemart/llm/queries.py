@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, pii, simhash, substrings
+from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, pii, prefix_trie, simhash, substrings
 from .common import learned, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +73,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(prepared(spark), sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation starts with turns of the one whose id ends in 00, as many as crc32 of its id modulo 6."""
+    turns = prefix_trie.numbered(table(prepared(spark), sf_dir, "conversations"))
+    conv = F.col("conv")
+    return prefix_trie.build(*prefix_trie.replanted(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op5_html_text, op6_pii, op7_exact_dedup, op8_mixing,
-    op9_packing, op10_simhash)}
+    op9_packing, op10_simhash, op12_prefix_trie)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
