@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, langid, lm, mixing, order_minhash, packing, pii, prefix_trie, simhash, substrings
+from . import (
+    exact_dedup, html_text, jaccard_join, langid, lm, mixing, order_minhash, packing, pii, prefix_trie, simhash, substrings)
 from .common import learned, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,8 +81,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(*prefix_trie.replanted(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(prepared(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op5_html_text, op6_pii, op7_exact_dedup, op8_mixing,
-    op9_packing, op10_simhash, op12_prefix_trie)}
+    op9_packing, op10_simhash, op12_prefix_trie, op13_jaccard_join)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
