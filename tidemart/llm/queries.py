@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_dedup, html_text, jaccard_join, langid, lm, mixing, order_minhash, packing, pii, prefix_trie, simhash, substrings)
+    exact_dedup, html_text, jaccard_join, langid, lm, mixing, order_minhash, packing, pii, prefix_trie, simhash, substrings,
+    token_align)
 from .common import learned, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(prepared(spark), sf_dir, "documents"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_align.align(table(prepared(spark), sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                              tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation starts with turns of the one whose id ends in 00, as many as crc32 of its id modulo 6."""
     turns = prefix_trie.numbered(table(prepared(spark), sf_dir, "conversations"))
@@ -87,6 +95,6 @@ def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_lm, op3_order_minhash, op4_substrings, op5_html_text, op6_pii, op7_exact_dedup, op8_mixing,
-    op9_packing, op10_simhash, op12_prefix_trie, op13_jaccard_join)}
+    op9_packing, op10_simhash, op11_token_align, op12_prefix_trie, op13_jaccard_join)}
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
