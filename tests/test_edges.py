@@ -1,5 +1,6 @@
 """Hand-made edge records per operator."""
 
+import decimal
 import datetime
 import json
 
@@ -241,6 +242,33 @@ def test_order_detail_fact(spark):
     assert values(joins.order_detail_fact(detail, info, log.limit(0)), "id", "source_id") == [("1", None), ("2", None)]
 
 
+def test_one_row_whatever_the_columns(spark):
+    """Lines and payments of one id and time: every subset of columns shows values of the same row."""
+    detail = spark.createDataFrame(
+        [("1", "o", 5, f"c{i}", f"n{7 * i % 5}", f"u{3 * i % 5}", decimal.Decimal(10 * i), decimal.Decimal(5 - i), decimal.Decimal(i * i % 4))
+         for i in range(5)] + [("2", "o", 5, None, "n", None, None, decimal.Decimal(1), decimal.Decimal(2)),
+                               ("2", "o", 5, None, None, "u", None, decimal.Decimal(1), decimal.Decimal(2))],
+        "id string, order_id string, ts bigint, course_id string, course_name string, user_id string, "
+        "origin_amount decimal(18,2), coupon_reduce decimal(18,2), final_amount decimal(18,2)")
+    info = spark.createDataFrame([("o", "t", "b", "s", "p")],
+                                 "id string, out_trade_no string, trade_body string, session_id string, province_id string")
+    log = spark.createDataFrame([("s", "src", 1)], "session_id string, source_id string, ts bigint")
+    full = {r.id: r.asDict() for r in joins.order_detail_fact(detail, info, log).collect()}
+    names = [c for c in next(iter(full.values())) if c != "id"]
+    subsets = [[n] for n in names] + [names[i::3] for i in range(3)] + [names[:4], names[4:]]
+    for some in subsets:
+        rows = joins.order_detail_fact(detail, info, log, ["id", *some]).collect()
+        assert {r.id: r.asDict() for r in rows} == {i: {c: f[c] for c in ("id", *some)} for i, f in full.items()}, some
+
+    paid = spark.createDataFrame([("p", "o", 5, f"a{i}", f"t{4 * i % 5}") for i in range(5)],
+                                 "id string, order_id string, ts bigint, alipay_trade_no string, trade_body string")
+    fact = joins.order_detail_fact(detail, info, log)
+    whole = joins.payment_fact(paid, fact).collect()[0].asDict()
+    for some in (["user_id"], ["alipay_trade_no"], ["trade_body", "final_amount"], ["ts", "course_id", "user_id"]):
+        row = joins.payment_fact(paid, fact, ["id", *some]).collect()
+        assert [r.asDict() for r in row] == [{c: whole[c] for c in ("id", *some)}], some
+
+
 def test_register_without_log(spark):
     users = spark.createDataFrame([("1", "t", "d", 5), ("2", "t", "d", 6)], "id string, create_time string, create_date string, ts bigint")
     log = logs.extract_dim_log(pages(spark, page("m1", 1, uid="1", ch="a"), page("m2", 2, uid="1", ch="b"), page("m", 3, uid=None)))

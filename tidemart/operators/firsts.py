@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import timefmt
 
@@ -27,6 +27,28 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _pick(df, keys, order, F.max)
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """MD5 of the columns' texts: tells rows of one key and time apart by the same rule, whatever columns go on.
+
+    It is 16 bytes wide, so a row's tie-break costs the shuffle no more than that.
+    """
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("|", *texts)))
+
+
+def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str], identity: Sequence[str],
+                   columns: Sequence[str]) -> DataFrame:
+    """keys, order and `columns` of the row with the greatest `order` per key, then the greatest digest of `identity`.
+
+    `identity` names what makes a record; those that df does not have are left out. Rows equal in all of it are one record,
+    so which row stays does not depend on `columns`, as it would if these decided.
+    """
+    tie = row_digest([c for c in identity if c in df.columns and c not in (*keys, *order)])
+    rest = [c for c in columns if c not in (*keys, *order)]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*order, tie.alias("_tie"), *rest)).alias("_row"))
+    return picked.select(*keys, *[f"_row.{c}" for c in (*order, *rest)])
+
+
 def _pick(df: DataFrame, keys, order, choose) -> DataFrame:
     rest = [c for c in df.columns if c not in (*keys, *order)]
     picked = df.groupBy(*keys).agg(choose(F.struct(*order, *rest)).alias("_row"))

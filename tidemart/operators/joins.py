@@ -12,12 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .firsts import join_side, latest_per
+from .firsts import join_side, latest_per, latest_version
 
 ORDER_COLUMNS = ("out_trade_no", "trade_body", "session_id", "province_id")
 PAID_COLUMNS = ("course_id", "course_name", "user_id", "origin_amount", "coupon_reduce", "final_amount",
                 "session_id", "province_id", "source_id")
 
+# What makes a record: decides between records of one id and time.
+DETAIL_IDENTITY = ("course_id", "course_name", "order_id", "user_id", "origin_amount", "coupon_reduce", "final_amount")
+PAYMENT_IDENTITY = ("out_trade_no", "order_id", "alipay_trade_no", "total_amount", "trade_body", "payment_type",
+                    "payment_status", "callback_time")
+
 
 def join_detail_order(detail: DataFrame, info: DataFrame, columns: Sequence[str] = ORDER_COLUMNS) -> DataFrame:
     """Order lines with their order's columns; lines without an order drop out."""
@@ -34,14 +39,16 @@ def join_order_source(orders: DataFrame, order_log: DataFrame) -> DataFrame:
 def order_detail_fact(detail: DataFrame, info: DataFrame, order_log: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """The order detail table: one row per line id, the last one received.
 
+    Of lines of one id and time the one with the greatest digest of DETAIL_IDENTITY stays, whatever columns are asked for.
     `columns` names those that are needed. The last row carries its columns through the shuffle, which no later selection
     can undo, so the rest is left out here, and so is a join that would add nothing.
     """
+    kept = [c for c in detail.columns if not columns or c in columns or c == "order_id"]
+    lines = latest_version(detail, ["id"], ["ts"], DETAIL_IDENTITY, kept)
     if not columns:
-        return join_order_source(join_detail_order(latest_per(detail, ["id"], ["ts"]), info), order_log)
-    detail = detail.select(*[c for c in detail.columns if c in columns or c in ("id", "order_id", "ts")])
+        return join_order_source(join_detail_order(lines.select(*detail.columns), info), order_log)
     wanted = [c for c in ORDER_COLUMNS if c in columns or c == "session_id" and "source_id" in columns]
-    facts = join_detail_order(latest_per(detail, ["id"], ["ts"]), info, wanted)
+    facts = join_detail_order(lines, info, wanted)
     return (join_order_source(facts, order_log) if "source_id" in columns else facts).select(*columns)
 
 
@@ -61,12 +68,13 @@ def join_payment_detail(payments: DataFrame, detail: DataFrame, order_ids: DataF
 
 
 def payment_fact(payments: DataFrame, detail: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """The payment table: one row per payment id, with the last line of its order. `columns`: as in order_detail_fact."""
+    """The payment table: one row per payment id, with the last line of its order. `columns` and ties (by
+    PAYMENT_IDENTITY): as in order_detail_fact."""
     paid = [c for c in PAID_COLUMNS if not columns or c in columns]
-    if columns:
-        payments = payments.select(*[c for c in payments.columns if c in columns or c in ("id", "order_id", "ts")])
+    kept = [c for c in payments.columns if not columns or c in columns or c == "order_id"]
+    last = latest_version(payments, ["id"], ["ts"], PAYMENT_IDENTITY, kept)
     last_line = join_side(detail.select("order_id", "ts", "id", *paid), "order_id", ["ts", "id"])
-    joined = latest_per(payments, ["id"], ["ts"]).join(last_line.drop("ts", "id"), ["order_id"], "left")
+    joined = last.join(last_line.drop("ts", "id"), ["order_id"], "left")
     return joined.select(*(columns or [*[c for c in payments.columns if c != "ts"], *paid, "ts"]))
 
 

@@ -72,8 +72,8 @@ CTES = {
       QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY ts DESC, source_id DESC) = 1""",
     "last_detail": """
       SELECT * FROM order_detail
-      QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, course_id DESC, course_name DESC, order_id DESC,
-        user_id DESC, origin_amount DESC, coupon_reduce DESC, final_amount DESC) = 1""",
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, md5(concat_ws('|', course_id, course_name, order_id,
+        user_id, origin_amount, coupon_reduce, final_amount)) DESC) = 1""",
     "orders_fact": """
       SELECT d.*, i.out_trade_no, i.trade_body, i.session_id, i.province_id, l.source_id
       FROM last_detail d JOIN order_info i ON d.order_id = i.id LEFT JOIN last_log l ON i.session_id = l.session_id""",

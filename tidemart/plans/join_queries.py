@@ -119,4 +119,5 @@ def dim_upsert(spark, sf):
 @query("latest_per_key", with_inputs("last_detail", "SELECT * FROM last_detail"))
 def latest_per_key(spark, sf):
     """What an upsert sink holds: the last row per line id."""
-    return firsts.latest_per(inputs.order_detail(spark, sf), ["id"], ["ts"])
+    lines = inputs.order_detail(spark, sf)
+    return firsts.latest_version(lines, ["id"], ["ts"], joins.DETAIL_IDENTITY, lines.columns)
