@@ -414,3 +414,39 @@ def test_split_log_keeps_unknown_fields(spark):
     assert {"page": {"page_id": "q"}} in rest and len(rest) == 2
     dirty = splitting.split_log(topic(spark, "[1]", '{"a":', page("a", 1)), dirty=True).collect()
     assert sorted(r.topic for r in dirty) == [fixed.LOG_DIRTY, fixed.LOG_DIRTY, fixed.LOG_PAGE]
+
+
+def test_one_answer_on_odd_lines(spark):
+    """Repeated keys, strings that look like numbers or arrays, unknown members: good for both or dirty for both, and kept."""
+    good = [
+        '{"common":{"mid":"m","uid":"1","uid":"1"},"page":{"page_id":"p"},"ts":1}',
+        '{"common":{"mid":"m"},"page":{"page_id":"p"},"x":"5","y":5,"z":null,"q":"a\\"b\\\\","w":"[1","displays":[{"item":"1"},{"item":"[2"}],"ts":2}',
+        '{"common":{"mid":"m"},"start":{"entry":"e"},"err":{"code":"5"},"x":"5","x":"true","ts":3}',
+        '{"common":{"mid":"m"},"page":{"page_id":"p"},"actions":[{"a":1,"a":2}],"displays":["s",7],"ts":"4"}',
+        '{"common":"none","page":"{}","ts":5}',
+        ' {"appVideo" : {"play_sec" : 3} , "ts" : 6 }',
+        '{"common":{},"err":{},"\\u00e9\\"":1,"ts":7}']
+    bad = ["[1]", '{"a":', "7", '"x"', "null", "nothing"]
+    lines = topic(spark, *good, *bad)
+    assert sorted(r.value for r in logs.split_dirty(lines)[1].collect()) == sorted(bad)
+    rows = splitting.split_log(lines, dirty=True).collect()
+    assert sorted(r.value for r in rows if r.topic == fixed.LOG_DIRTY) == sorted(bad)
+    pairs = lambda text: json.loads(text, object_pairs_hook=list)
+    def rest(text, *names):
+        return [(k, v) for k, v in pairs(text) if k not in names]
+    out = {}
+    for r in rows:
+        if r.topic != fixed.LOG_DIRTY:
+            out.setdefault(r.topic, []).append(pairs(r.value))
+    assert sorted(out[fixed.LOG_PAGE], key=str) == sorted(
+        [rest(g, "displays", "actions", "err") for i, g in enumerate(good) if i in (0, 1, 3, 4, 6)], key=str)
+    assert sorted(out[fixed.LOG_ERR], key=str) == sorted([pairs(good[2]), pairs(good[6])], key=str)
+    assert out[fixed.LOG_START] == [rest(good[2], "err")] and out[fixed.LOG_VIDEO] == [pairs(good[5])]
+    assert sorted((dict(d)["display"] for d in out[fixed.LOG_DISPLAY]), key=str) == sorted(
+        [[("item", "1")], [("item", "[2")], "s", 7], key=str)
+    assert [dict(a)["action"] for a in out[fixed.LOG_ACTION]] == [[("a", 1), ("a", 2)]]
+    # A corrected is_new replaces every field of that name, or comes first; nothing else changes.
+    new = splitting.page_only(topic(spark, good[0], '{"common":{"is_new":"1","mid":"m","is_new":"1"},"ts":8}', good[4]).withColumn("is_new", F.lit("0")))
+    assert sorted(r.value for r in new.collect()) == sorted([
+        '{"common":{"is_new":"0","mid":"m","uid":"1","uid":"1"},"page":{"page_id":"p"},"ts":1}',
+        '{"common":{"is_new":"0","mid":"m","is_new":"0"},"ts":8}', good[4]])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BAD = "_bad"
@@ -41,13 +43,67 @@ def parse(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     return raw.withColumn("rec", rec).drop("_raw")
 
 
-def members(text: Column) -> Column:
-    """The members of a JSON object with their values as they are, null if the text is none."""
-    return F.try_parse_json(text).try_cast("map<string,variant>")
+def _as_map(text: Column) -> Column:
+    """Member texts of a JSON object in order, texts of strings without their quotes; null if it is none."""
+    return F.from_json(text, "map<string,string>")
+
+
+def quoted(text: Column) -> Column:
+    """A string as JSON."""
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    escaped = F.to_json(F.struct(text.alias("t")))
+    return F.when(text.rlike('[\\\\"\\x00-\\x1f]'), F.substr(escaped, F.lit(6), F.length(escaped) - 6)).otherwise(plain)
+
+
+def _of_variant(value: Column) -> Column:
+    return F.coalesce(F.to_json(value), F.lit("null"))
+
+
+# Text that is JSON as it stands: a number, a literal, or what opens like an array or object. It may have been a string.
+_STANDS = r'(?s)^(-?[0-9][0-9.eE+\-]*|true|false|null|[\[{].*)$'
+
+
+def member_texts(df: DataFrame, value: str, known: Sequence[str], name: str) -> DataFrame:
+    """df with column `name`: struct<names, texts> of a JSON object's members as JSON texts, the last one first; null if the
+    value is none.
+
+    One pass gives the members, strings without their quotes. `known` names members that are usually no strings. Where the text
+    has no string after such a name, and the values of other members cannot be anything but strings, that is all.
+    Else the text is parsed a second time, to a variant, which tells strings; only an object that repeats a key cannot be:
+    there a value that could stand as it is counts as a string if the text has a string after its name.
+    """
+    split, text = df.select("*", once(_as_map(F.col(value))).alias("_map")), F.col(value)
+    names, values = F.map_keys("_map"), F.map_values("_map")
+    ambiguous = F.exists(F.zip_with(names, values, lambda n, v: ~n.isin(*known) & F.coalesce(v.rlike(_STANDS), F.lit(False))), lambda x: x)
+    unsure = text.rlike(f'"({"|".join(known)})"\\s*:\\s*"') | F.when(
+        F.size(F.array_except(names, F.array(*[F.lit(n) for n in known]))) > 0, ambiguous).otherwise(False)
+    split = split.select("*", once(unsure).alias("_unsure"))
+    unsure, typed = F.col("_unsure"), F.col("_typed")
+    split = split.select("*", once(F.when(unsure, F.try_parse_json(text).try_cast("map<string,variant>"))).alias("_typed"))
+    null = F.lit("null")
+    direct = F.zip_with(names, values, lambda n, v: F.when(v.isNull(), null).when(n.isin(*known), v).otherwise(quoted(v)))
+    told = F.transform(names, lambda n: _of_variant(typed[n]))
+    guessed = F.zip_with(names, values, lambda n, v: F.when(v.isNull(), null).when(
+        ~v.rlike(_STANDS) | F.rlike(text, F.concat(F.lit('"\\Q'), n, F.lit('\\E"\\s*:\\s*"'))), quoted(v)).otherwise(v))
+    texts = F.when(~unsure, direct).when(typed.isNotNull(), told).otherwise(guessed)
+    found = F.when(F.col("_map").isNotNull(), F.struct(F.reverse(names).alias("names"), F.reverse(texts).alias("texts")))
+    return split.select(*df.columns, once(found).alias(name))
+
+
+def items(text: Column) -> Column:
+    """The elements of a JSON array, strings without their quotes; null if the text is none."""
+    return F.from_json(text, "array<string>")
+
+
+def item_texts(text: Column, elements: Column) -> Column:
+    """The elements of a JSON array as JSON texts; `elements` are its `items`, which stand as they are if all are objects."""
+    plain = F.forall(elements, lambda v: F.coalesce(v.startswith("{"), F.lit(False))) & ~text.rlike(r'[\[,]\s*"\s*\{')
+    told = F.transform(F.try_parse_json(text).try_cast("array<variant>"), _of_variant)
+    return F.when(plain, elements).otherwise(F.coalesce(told, F.transform(elements, lambda v: F.coalesce(v, F.lit("null")))))
 
 
 def is_object(text: Column) -> Column:
-    return members(text).isNotNull()
+    return _as_map(text).isNotNull()
 
 
 def is_bad() -> Column:

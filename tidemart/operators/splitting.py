@@ -1,8 +1,10 @@
 """One log stream into error, start, play, display, action and page streams.
 
-Input: log lines as JSON text in column `value`; other columns go along. Each line is parsed once, into its members. They are
-written to the outputs as they came, with all their fields, known or not. An `is_new` column, if there is one, replaces the
-field of that name in `common`. Lines that are no JSON object give no rows here (see logs.split_dirty).
+Input: log lines as JSON text in column `value`; other columns go along. Each line is parsed once, into the texts of its
+members. A record that nothing is taken from goes on as it came; from others members are left out and the rest stays in its
+order, known or not, repeated keys included. Only the spelling of numbers may change there (1.10 is written 1.1). Of a
+repeated member the last one counts, as in logs.parse_log. An `is_new` column, if there is one, replaces the field of that
+name in `common`. Lines that are no JSON object give no rows here; they are the lines that logs.split_dirty gives.
 """
 
 from __future__ import annotations
@@ -12,26 +14,43 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed
 from ..functions import jsontext
 
-REC, COMMON = "_rec", "_common"
+MEMBERS = ("common", "page", "displays", "actions", "start", "err", "appVideo", "ts")
+REC, KNOWN, PARTS = "_rec", "_known", "_parts"
+IS_NEW = '"is_new"\\s*:\\s*("(?:[^"\\\\]|\\\\.)*"|[^,}\\s]+)'
 
 
 def _opened(lines: DataFrame, broken: bool = False) -> DataFrame:
-    """Lines with their members, and the text of common with the corrected is_new; broken lines too if asked for."""
-    rows = lines.select("*", jsontext.once(jsontext.members(F.col("value"))).alias(REC))
+    """Lines with their members' texts: REC all names and texts, KNOWN those with names in MEMBERS; the text of common with
+    the corrected is_new, and whether that differs from what came. Broken lines too if asked for.
+
+    Each step is evaluated once, however many outputs look at it.
+    """
+    rows = jsontext.member_texts(lines, "value", MEMBERS, REC)
     rows = rows if broken else rows.where(F.col(REC).isNotNull())
-    common = F.to_json(F.col(REC)["common"])
+    texts = [F.get(F.col(REC)["texts"], F.array_position(F.col(REC)["names"], m).cast("int") - 1).alias(m) for m in MEMBERS]
+    rows = rows.select("*", jsontext.once(F.struct(*texts)).alias(KNOWN))
+    common, changed = _member("common"), F.lit(False)
     if "is_new" in lines.columns:
-        fields = F.col(REC)["common"].try_cast("map<string,variant>")
-        # The value takes the place of the old one; texts need no escape here, they are 0 or 1.
-        new = F.map_from_arrays(F.array(F.lit("is_new")), F.array(F.parse_json(F.concat(F.lit('"'), F.col("is_new"), F.lit('"')))))
-        changed = F.col("is_new").isNotNull() & (F.col("is_new") != F.coalesce(fields["is_new"].try_cast("string"), F.lit("")))
-        common = F.when(changed, F.to_json(F.map_concat(F.map_filter(fields, lambda k, v: k != "is_new"), new))).otherwise(common)
-    return rows.select("*", jsontext.once(common).alias(COMMON))
+        # The value needs no escape, it is 0 or 1. The old one is replaced where it stands, a missing one goes first.
+        old = F.regexp_extract(common, IS_NEW, 1)
+        field = F.concat(F.lit('"is_new":"'), F.col("is_new"), F.lit('"'))
+        rest = F.ltrim(F.substr(F.ltrim(common), F.lit(2)))
+        new = (F.when(old != "", F.regexp_replace(common, F.lit(IS_NEW), field))
+               .when(rest.startswith("}"), F.concat(F.lit("{"), field, rest)).otherwise(F.concat(F.lit("{"), field, F.lit(","), rest)))
+        changed = F.coalesce(common.startswith("{") & (F.col("is_new") != F.trim(old, F.lit('"'))), F.lit(False))
+        common = F.when(changed, new).otherwise(common)
+    parts = F.struct(common.alias("common"), changed.alias("changed"),
+                     *[F.when(is_page(), jsontext.items(_member(m))).alias(m) for m in ("displays", "actions")])
+    return rows.select("*", jsontext.once(parts).alias(PARTS))
+
+
+def _member(name: str) -> Column:
+    """The text of a member, null if it is not there."""
+    return F.col(KNOWN)[name]
 
 
 def _has(name: str) -> Column:
-    member = F.col(REC)[name]
-    return member.isNotNull() & ~F.is_variant_null(member)
+    return F.coalesce(_member(name) != "null", F.lit(False))
 
 
 def has_error() -> Column:
@@ -52,19 +71,23 @@ def is_page() -> Column:
 
 def _without(*names: str) -> Column:
     """The record as text without some of its members."""
-    rest = F.to_json(F.map_filter(REC, lambda name, value: ~name.isin("common", *names)))
-    rest = F.substr(rest, F.lit(2))
-    whole = F.concat(F.lit('{"common":'), F.col(COMMON), F.when(rest == "}", rest).otherwise(F.concat(F.lit(","), rest)))
-    return F.coalesce(whole, F.concat(F.lit("{"), rest))
+    there, common = F.col(REC)["names"], F.col(PARTS)["common"]
+    parts = F.zip_with(there, F.col(REC)["texts"], lambda name, text: F.when(
+        ~name.isin(*names) if names else F.lit(True),
+        F.concat(jsontext.quoted(name), F.lit(":"), F.when(name == "common", common).otherwise(text))))
+    rebuilt = F.concat(F.lit("{"), F.array_join(F.reverse(parts), ","), F.lit("}"))  # parts left out are null
+    whole = ~F.col(PARTS)["changed"]
+    for name in names:
+        whole = whole & ~F.array_contains(there, name)
+    return F.when(whole, F.col("value")).otherwise(rebuilt)
 
 
 def _items(name: str, field: str, *others: str) -> Column:
     """Per element of an array member: the element as `field`, common, and other members."""
-    tail = F.concat(F.coalesce(F.concat(F.lit(',"common":'), F.col(COMMON)), F.lit("")),
-                    *[F.when(_has(o), F.concat(F.lit(f',"{o}":'), F.to_json(F.col(REC)[o]))).otherwise("") for o in others],
+    tail = F.concat(F.coalesce(F.concat(F.lit(',"common":'), F.col(PARTS)["common"]), F.lit("")),
+                    *[F.when(_has(o), F.concat(F.lit(f',"{o}":'), _member(o))).otherwise("") for o in others],
                     F.lit("}"))
-    return F.transform(F.col(REC)[name].try_cast("array<variant>"),
-                       lambda item: F.concat(F.lit(f'{{"{field}":'), F.to_json(item), tail))
+    return F.transform(jsontext.item_texts(_member(name), F.col(PARTS)[name]), lambda item: F.concat(F.lit(f'{{"{field}":'), item, tail))
 
 
 DISPLAYS = ("displays", "display", "page", "ts")
