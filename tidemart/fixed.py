@@ -69,3 +69,6 @@ DELAY_NONE = "0 seconds"
 STATE_TTL_MS = 24 * 3600 * 1000
 ORDER_JOIN_BOUND = "15 seconds"
 REGISTER_JOIN_BOUND = "10 seconds"
+# How long a correcting join remembers a row after its last write.
+ORDER_IDLE_MS = 15_000
+REGISTER_IDLE_MS = 10_000

@@ -1,7 +1,7 @@
 """Imports every module that registers queries."""
 
 from . import (  # noqa: F401
-    cleaning_queries, function_queries, join_queries, metric_queries, sink_queries,
+    changelog_queries, cleaning_queries, function_queries, join_queries, metric_queries, sink_queries,
     stream_queries, visitor_queries,
 )
 from .registry import QUERIES, SQL
