@@ -35,8 +35,8 @@ from .common import written
 from .lm import U64, packed, packed_sorted, ranges_of, unpacked, unpacked_sorted
 from .substrings import mixed
 
-REMEMBERED_WORDS = 500_000
-REMEMBERED_UNITS = 500_000
+REMEMBERED_WORDS = 650_000
+REMEMBERED_UNITS = 650_000
 CHAIN = 20_000
 CHUNK_PAIRS = 4_000_000
 SEGMENT_PAIRS = 1 << 16
@@ -254,7 +254,7 @@ class Pair:
         new: set[str] = set()
         for words in split:
             new.update(words)
-        new.difference_update(self.words)
+        new = new.difference(self.words)  # goes through the new ones alone
         if new:
             self.learn(list(new))
         odd, bad = self.odd.view(), self.bad.view()
