@@ -13,6 +13,7 @@ Round 0 is written once, closed and open windows together: a task that runs agai
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -28,8 +29,13 @@ WINDOW = 4096
 OPEN_WINDOWS = 64
 FAN_IN = 64
 END_ID = 2
-CACHED_WORDS = 200_000
-CACHED_STEMS = 600_000
+WORD_BYTES = 40 << 20
+STEM_BYTES = 80 << 20
+ENTRY_BYTES = 170  # of a dictionary's entry and its two objects
+LINE = 1000
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")  # ASCII and Latin-1 letters in UTF-8
+LONG = 1 << 20
+TEXTS = 500
 TAIL = b".,!?;:*#%$&"
 BATCH_ROWS = 20_000
 
@@ -42,32 +48,62 @@ class WordIds:
 
     Such a tokenizer never joins across white space, so each word is encoded once and remembered; a word that ends in
     a letter or digit and common punctuation is put together from the two, and an ASCII one is lower-cased first.
-    The memory is bounded: a full one starts anew.
+    The memory is bounded by its bytes: a full one starts anew.
     """
 
+    held: dict[str, WordIds] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> WordIds:
+        """One per worker process, which serves many tasks."""
+        if path not in cls.held:
+            cls.held[path] = cls(path)
+        return cls.held[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = "<|startoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        entries = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.ends_word = np.array([t.endswith("</w>") for t in entries])
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {b"": b""}
+        self.word_bytes = self.stem_bytes = 0
+
+    def _keep_ends(self, stems: list[bytes], ids: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> None:
+        data = ids.tobytes()
+        self.stems.update(zip(stems, [data[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]))
+
+    def _encode_letters(self, stems: list[bytes]) -> list[bytes]:
+        """Stems of letters are one word each to the tokenizer, so the ends of words in a line of them are theirs. Gives back
+        those that have to be encoded otherwise."""
+        texts = [s.decode() for s in stems]
+        lines = [texts[i:i + LINE] for i in range(0, len(texts), LINE)]
+        rest = []
+        for i, found in enumerate(self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            ends, own = np.flatnonzero(self.ends_word[ids]) + 1, stems[i * LINE:(i + 1) * LINE]
+            if len(ends) != len(own):
+                rest += own
+                continue
+            self._keep_ends(own, ids, ends, np.append(0, ends[:-1]))
+        return rest
 
     def _encode(self, stems: list[bytes]) -> None:
-        """Several stems go into one call, with a special token between them that shows where each one ends."""
+        """Other stems go into one call with a special token between them that shows where each one ends."""
+        letters, others = [], []
+        for stem in stems:
+            (letters if LETTERS.fullmatch(stem) else others).append(stem)
+        stems = others + self._encode_letters(letters)
         plain = [s for s in stems if b"<|" not in s]
-        groups = [plain[i:i + 6] for i in range(0, len(plain), 6)]
-        for i in range(0, len(groups), 2000):
-            some = groups[i:i + 2000]
-            texts = [self.mark.join([s.decode("utf-8", "replace") for s in group]) for group in some]
-            for group, found in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(found.ids, dtype="<u4")
-                ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
-                data, start = ids.tobytes(), 0
-                for stem, end in zip(group, ends, strict=True):
-                    self.stems[stem] = data[4 * start:4 * end]
-                    start = end + 1
+        groups = [plain[i:i + 50] for i in range(0, len(plain), 50)]
+        texts = [self.mark.join([s.decode("utf-8", "replace") for s in group]) for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+            self._keep_ends(group, ids, ends, np.append(0, ends[:-1] + 1))
         for stem in stems:
             if b"<|" in stem:
                 ids = self.tokenizer.encode(stem.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -75,42 +111,45 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of words not known yet."""
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        if len(self.stems) > CACHED_STEMS:
-            self.stems = {b"": b""}
-        parts = []
-        for word in words:
-            stem = word.rstrip(TAIL)
-            if not stem[-1:].isalnum():
-                stem = word
-            parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem):]))
-        self._encode(list({s for _, stem, tail in parts for s in (stem, tail)}.difference(self.stems)))
-        stems = self.stems
-        self.words.update((word, stems[stem] + stems[tail]) for word, stem, tail in parts)
-
-    def of(self, text: bytes) -> bytes:
-        out = []
-        for slab in slabs(text):
-            words = slab.split()
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                self.learn(set(words).difference(self.words))
-                out.append(b"".join([self.words.get(w) or self._one(w) for w in words]))
-        return b"".join(out)
-
-    def _one(self, word: bytes) -> bytes:
-        if word not in self.words:
-            self.learn({word})
-        return self.words[word]
-
-    def learn_batch(self, texts: Iterable[bytes]) -> None:
-        """Encode the new words of many short texts at once."""
-        missing: set[bytes] = set()
-        for text in texts:
-            missing.update(text.split())
-        self.learn(missing.difference(self.words))
+        plain = [w for w in words if w[-1] not in TAIL]
+        tailed = [w for w in words if w[-1] in TAIL]
+        cut = [w.rstrip(TAIL) for w in tailed]
+        cut = [stem if stem[-1:].isalnum() else w for w, stem in zip(tailed, cut)]
+        tails = [w[len(stem):] for w, stem in zip(tailed, cut)]
+        # The tokenizer lower-cases after composing characters, so this may come first in ASCII alone. It makes fewer stems.
+        plain_stems, cut = ([w.lower() if w.isascii() else w for w in x] for x in (plain, cut))
+        if self.stem_bytes > STEM_BYTES:
+            self.stems, self.stem_bytes = {b"": b""}, 0
+        new = list({*plain_stems, *cut, *tails}.difference(self.stems))
+        self._encode(new)
+        of = self.stems.__getitem__
+        self.words.update(zip(plain, map(of, plain_stems)))
+        self.words.update(zip(tailed, [of(stem) + of(tail) for stem, tail in zip(cut, tails)]))
+        self.stem_bytes += ENTRY_BYTES * len(new) + 3 * sum(map(len, new))
+        self.word_bytes += ENTRY_BYTES * len(words) + 2 * sum(map(len, words))
+
+    def of_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of some texts, as bytes; each text is split once, a very long one slab by slab."""
+        split = [t.split() if len(t) < LONG else [] for t in texts]
+        new: set[bytes] = set()
+        for words in split:
+            new.update(words)
+        if self.word_bytes > WORD_BYTES:
+            self.words, self.word_bytes = {}, 0
+        new = new.difference(self.words)
+        if new:
+            self.learn(new)
+        of = self.words.__getitem__
+        out = [b"".join(map(of, words)) for words in split]
+        for i, text in enumerate(texts):
+            if len(text) >= LONG:
+                out[i] = b"".join([self.of_slab(slab) for slab in slabs(text, LONG // 2)])
+        return out
+
+    def of_slab(self, slab: bytes) -> bytes:
+        words = slab.split()
+        self.learn(set(words).difference(self.words))
+        return b"".join(map(self.words.__getitem__, words))
 
 
 class Packer:
@@ -173,17 +212,16 @@ def sequence_base(round_: int, part: int) -> int:
 
 
 def pack_part(batches: Iterator[pa.RecordBatch], path: str, window: int, most_open: int, end_id: int):
-    words, packer, part = WordIds(path), Packer(window, most_open), TaskContext.get().partitionId()
+    words, packer, part = WordIds.shared(path), Packer(window, most_open), TaskContext.get().partitionId()
     end, out = np.array([end_id], dtype="<u4").tobytes(), None
     for batch in batches:
         if out is None:
             out = Rows(out_schema(batch.schema.field(0).type), sequence_base(0, part))
         ids_of, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-        for first in range(0, len(texts), 500):
-            some = [t or b"" for t in texts[first:first + 500]]
-            words.learn_batch(t for t in some if len(t) < 1 << 20)
-            for doc_id, text in zip(ids_of[first:first + 500], some):
-                ids = words.of(text) + end
+        for first in range(0, len(texts), TEXTS):
+            some = words.of_all([t or b"" for t in texts[first:first + TEXTS]])
+            for doc_id, ids in zip(ids_of[first:first + TEXTS], some):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total - total % window, window):
                     out.sequence([((doc_id, start, total, ids[4 * start:4 * (start + window)]), window)])
