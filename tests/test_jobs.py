@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart import fixed, schemas
 from tidemart.functions import timefmt
-from tidemart.operators import metrics, visitors, windows
+from tidemart.operators import joins, metrics, visitors, windows
 from tidemart.session import shared_folder
 from tidemart.sources import cdc, logs
 from tidemart.streaming import jobs
@@ -180,6 +180,24 @@ def test_order_facts(site):
         ("None" if i in (0, 5) else f"m{i}", str(i)) for i in range(6))
 
 
+def test_fact_tables(site):
+    """The tables of the correcting joins hold what the batch joins over all rows give; the topics leave out partners
+    that are further away than the bound."""
+    changes = cdc.read_cdc_envelope(batch_lines(site, fixed.TOPIC_DB), None)
+    pages = logs.read_page_log(batch_lines(site, fixed.LOG_PAGE))
+    batch = joins.order_detail_fact(cdc.extract_order_detail(changes), cdc.extract_order_info(changes), logs.extract_order_log(pages))
+    table = site.fact_table(fixed.FACT_ORDER_DETAIL).read()
+    assert rows_of(table.select(*batch.columns)) == rows_of(batch) and batch.where("source_id is not null").count() > 40
+    lines = batch_facts(site, fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL)
+    paid = joins.payment_fact(cdc.extract_payment(changes), lines.select("id", "order_id", *joins.PAID_COLUMNS, "ts"))
+    assert rows_of(site.fact_table(fixed.FACT_PAYMENT).read().select(*paid.columns)) == rows_of(paid)
+    users = joins.join_register_dim(cdc.extract_user_register(changes), logs.extract_dim_log(pages), now=False)
+    got = site.fact_table(fixed.FACT_REGISTER).read()
+    assert rows_of(got.select(*users.columns)) == rows_of(users)
+    # Users 0 and 5 have pages, but none near their registration: the bounded join of the topic leaves them out.
+    assert got.where("user_id in ('0', '5') and mid_id is not null").count() == 2
+
+
 def test_study_plays(site):
     plays = timefmt.with_event_time(logs.flatten_play(cdc.parse_tolerant(batch_lines(site, fixed.LOG_VIDEO), schemas.LOG)), "ms")
     batch = windows.session_keyed(plays).where(f"ts < {END}")

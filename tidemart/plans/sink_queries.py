@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import timefmt
-from ..operators import windows
+from ..operators import joins, windows
 from ..session import shared_folder
 from ..sinks import lifecycle, tables, topics
 from ..sources import config
@@ -42,13 +42,28 @@ def sink_append_json(spark, sf):
 @query("sink_upsert_latest", with_inputs("last_detail", "SELECT * FROM last_detail"))
 def sink_upsert_latest(spark, sf):
     """Order lines in three batches of their time; the table holds the last row per line id."""
-    table = tables.KeyedTable(spark, shared_folder(spark, "upsert"), ["id"], ["ts"])
+    table = tables.KeyedTable(spark, shared_folder(spark, "upsert"), ["id"], ["ts"], identity=joins.DETAIL_IDENTITY)
     lines = inputs.order_detail(spark, sf)
     for batch in range(3):
         table.write(lines.where(F.pmod("ts", F.lit(3)) == batch), batch)
     return table.read()
 
 
+@query("sink_upsert_deletes", with_inputs("user_changes", """
+  SELECT id, type, ts, event_id, level, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) AS n FROM user_changes)
+  WHERE n = 1 AND type <> 'delete'"""))
+def sink_upsert_deletes(spark, sf):
+    """User changes with deletes in five batches that are not in order of time; one is written twice, as after a failure,
+    and the base is folded on the way."""
+    table = tables.KeyedTable(spark, shared_folder(spark, "upsert"), ["id"], ["ts", "event_id"], "type", fold_every=2)
+    rows = inputs.user_dim_changes(spark, sf).select(
+        F.col("data")["id"].alias("id"), "type", "ts", "event_id", F.col("data")["level"].alias("level"), F.col("data")["score"].alias("score"))
+    for batch in (0, 1, 1, 2, 3, 4):
+        table.write(rows.where(F.pmod("event_id", F.lit(5)) == 4 - batch), batch)
+    return table.read()
+
+
 @query("sink_metric_table", metric_sql("ev", EVENT_ROWS, "event_type", big("n", "k_sum"), 3_600_000, columns="m.event_type"))
 def sink_metric_table(spark, sf):
     """An hourly metric; the second batch is written twice, as after a failure."""

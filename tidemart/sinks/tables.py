@@ -1,8 +1,8 @@
 """Tables written batch by batch.
 
-A batch lands in a folder of its own, named by its id, and replaces what an earlier try left there. So
-writing costs as much as the batch, whatever the size of the table, and a replay after a failure changes
-nothing. Readers merge the batches; compact() folds them into a new base, off the streaming path.
+Metric and keyed tables have a commit log (commits.py): a batch is prepared in a folder of its own and counts from the moment
+its manifest is there. A replay after a failure replaces its batch; writing costs as much as the batch, and folding now and
+then as much as what is folded. Dimensions have a store of their own.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed
 from ..operators import dims, firsts
+from .commits import CommitLog, Entry
 
-BATCH = "batch_id"
+BATCH, BUCKET = "batch_id", "bucket"
 
 
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -27,50 +28,127 @@ def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | Non
 
 
 class MetricTable:
-    """Append-only rows, each batch exactly once."""
+    """Append-only rows, each batch exactly once. A batch without rows leaves no file."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.log = CommitLog(spark, path)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        self.log.add(batch_id, self.log.prepare(rows))
+        if self.log.fold(lambda folders: self.log.prepare(self._of(folders).coalesce(1))):
+            self.log.expire()
 
-    def batches(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def _of(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.log.path}/data/{f}" for f in folders])
+
+    def read_or_none(self) -> DataFrame | None:
+        """The rows committed by now, None while there are none."""
+        folders = [e.folder for e, _ in self.log.folders()]
+        return self._of(folders) if folders else None
 
     def read(self) -> DataFrame:
-        return self.batches().drop(BATCH)
+        rows = self.read_or_none()
+        if rows is None:
+            raise ValueError(f"no rows in {self.path} yet")
+        return rows
 
-    def read_or_none(self) -> DataFrame | None:
-        rows = read_or_none(self.spark, self.path)
-        return rows if rows is None else rows.drop(BATCH)
 
+class KeyedTable:
+    """Upsert by key: the row of the greatest `order` per key counts, then of the latest batch, then the greatest digest of
+    `identity`. A row of type 'delete' in `row_type` removes the key; it is kept as a marker, so that an older row that comes
+    later does not bring the key back.
 
-class KeyedTable(MetricTable):
-    """Upsert by key: the last row per key counts, a row of type 'delete' removes the key."""
+    Rows lie in hash buckets of their key. A read merges the base with the batches after it; while these are small next to it,
+    the base goes through no shuffle. Every `fold_every` batches they go into a new base, bucket by bucket.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str] = (), row_type: str | None = None):
-        super().__init__(spark, path)
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str] = (), row_type: str | None = None,
+                 identity: Sequence[str] = (), buckets: int = 16, fold_every: int = 20):
+        self.spark, self.path = spark, path
         self.key, self.order, self.row_type = list(key), list(order), row_type
+        self.identity, self.buckets, self.fold_every = list(identity), buckets, fold_every
+        self.log = CommitLog(spark, path)
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        order = [*self.order, BATCH]
+        identity = self.identity or [c for c in rows.columns if c not in (*self.key, *order, BUCKET)]
+        return firsts.latest_version(rows, self.key, order, identity, rows.columns).select(*rows.columns)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        # Within a batch the last row per key is all that can count.
-        super().write(firsts.latest_per(rows, self.key, self.order) if self.order else rows, batch_id)
+        """Within a batch the last row per key is all that can count."""
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        last = self._last(rows.withColumn(BATCH, F.lit(batch_id).cast("long")))
+        self.log.add(batch_id, self.log.prepare(last.withColumn(BUCKET, bucket).repartition(BUCKET), BUCKET))
+        entries = self.log.manifest().entries
+        if sum(e.level == 0 for e in entries) > self.fold_every:
+            self.compact()
+
+    def compact(self, newest: int = 1) -> None:
+        """Fold all batches but the newest, which may come again, into the base."""
+        entries = self.log.manifest().entries
+        some = entries[:len(entries) - newest] if newest else entries
+        if not some or all(e.level for e in some):
+            return
+        merged = self._merged([(e, f"{self.log.path}/data/{e.folder}") for e in some if e.folder], None)
+        made = self.log.prepare(merged.repartition(BUCKET), BUCKET) if merged is not None else (None, 0)
+        self.log.commit([Entry(some[0].first, some[-1].last, 1, *made), *entries[len(some):]])
+        self.log.expire()
+
+    def _rows(self, paths: list[str], buckets: Sequence[int] | None) -> DataFrame | None:
+        if not paths:
+            return None
+        parts = [self.spark.read.parquet(p) for p in paths]
+        rows = parts[0]
+        for more in parts[1:]:
+            rows = rows.unionByName(more, allowMissingColumns=True)
+        return rows if buckets is None else rows.where(F.col(BUCKET).isin(*buckets))
+
+    def _merged(self, folders, buckets: Sequence[int] | None) -> DataFrame | None:
+        """The last row per key, delete markers included."""
+        base = self._rows([p for e, p in folders if e.level], buckets)
+        later = self._rows([p for e, p in folders if not e.level], buckets)
+        if later is None:
+            return base  # has one row per key
+        later = self._last(later)
+        if base is None:
+            return later
+        names = list(dict.fromkeys([*base.columns, *later.columns]))
+        base, later = (d.select(*[F.col(c) if c in d.columns else F.lit(None).alias(c) for c in names]) for d in (base, later))
+        order = [*self.order, BATCH]
+        marks = later.select(*[F.col(k).alias(f"_{k}") for k in self.key], F.struct(*order).alias("_of"))
+        same = None
+        for k in self.key:
+            one = F.col(k).eqNullSafe(F.col(f"_{k}"))
+            same = one if same is None else same & one
+        # A key is in one bucket, so what is older than a later batch's row is found by key alone.
+        kept = base.join(marks, same & (F.struct(*order) <= F.col("_of")), "left_anti")
+        newer = base.join(marks, same & (F.struct(*order) > F.col("_of")), "left_semi").select(
+            *[F.col(k).alias(f"_{k}") for k in self.key])
+        return kept.unionByName(later.join(newer, same, "left_anti"))
+
+    def bucket_of(self, *values) -> int:
+        """The bucket of a key: a reader that asks for it reads no other."""
+        row = self.spark.createDataFrame([values], T.StructType([T.StructField(k, t) for k, t in zip(self.key, self._types())]))
+        return row.select(F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")).first()[0]
+
+    def _types(self):
+        fields = {f.name: f.dataType for f in self.spark.read.parquet(self.log.folders()[-1][1]).schema.fields}
+        return [fields[k] for k in self.key]
 
-    def read(self) -> DataFrame:
-        last = firsts.latest_per(self.batches(), self.key, [*self.order, BATCH]).drop(BATCH)
-        if self.row_type is None:
-            return last
-        return last.where(F.coalesce(F.col(self.row_type), F.lit("")) != fixed.DELETE)
+    def read_or_none(self) -> DataFrame | None:
+        return self.read() if self.log.folders() else None
 
-    def compact(self, path: str) -> "KeyedTable":
-        """Write the current state as the first batch of a new table at `path`."""
-        folded = KeyedTable(self.spark, path, self.key, self.order, self.row_type)
-        MetricTable.write(folded, self.read(), 0)
-        return folded
+    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The rows as of the last commit; `buckets` names those to read."""
+        rows = self._merged(self.log.folders(), buckets)
+        if rows is None:
+            raise ValueError(f"no rows in {self.path} yet")
+        rows = rows.drop(BATCH, BUCKET)
+        return rows if self.row_type is None else rows.where(F.coalesce(F.col(self.row_type), F.lit("")) != fixed.DELETE)
 
 
-class DimStore(MetricTable):
+class DimStore:
     """All dimensions: routed changes in batches, merged column by column on reading.
 
     One write per batch serves every dimension; a reader prunes to its own by the partition column. Now and then a
@@ -81,8 +159,7 @@ class DimStore(MetricTable):
     FOLD = 100
 
     def __init__(self, spark: SparkSession, path: str, order: Sequence[str]):
-        super().__init__(spark, path)
-        self.order = list(order)
+        self.spark, self.path, self.order = spark, path, list(order)
 
     def write(self, routed: DataFrame, batch_id: int) -> None:
         rows = routed.select("sink_table", "type", *self.order, "data")

@@ -16,7 +16,7 @@ from ..operators import dims, filters, metrics, routing, splitting, windows
 from ..operators.joins import PAID_COLUMNS
 from ..sinks import lifecycle
 from ..sources import cdc, config, logs, readers
-from . import joins, stateful
+from . import changelog, joins, stateful
 from .site import CHANGE_ORDER, Site
 
 Queries = list[StreamingQuery]
@@ -169,6 +169,29 @@ def registers(site: Site, bound: str = fixed.REGISTER_JOIN_BOUND) -> Queries:
     return [site.publish_json(facts.withColumn("row_op_ts", F.current_timestamp()), fixed.FACT_REGISTER, "user_register", "user_id")]
 
 
+# Fact tables: rows come at once and are corrected when their partners do. ----------------------------------------------
+
+def order_detail_table(site: Site, idle: int = fixed.ORDER_IDLE_MS, salts: int = 8) -> Queries:
+    changes = _changes(site)
+    log = logs.extract_order_log(logs.read_page_log(site.lines(fixed.LOG_PAGE)))
+    rows = changelog.order_detail(cdc.extract_order_detail(changes), cdc.extract_order_info(changes), log,
+                                  idle if site.forgets else None, salts)
+    return [site.upsert(rows, fixed.FACT_ORDER_DETAIL)]
+
+
+def payment_table(site: Site, types: tuple[str, ...] = (fixed.INSERT,), idle: int = fixed.ORDER_IDLE_MS) -> Queries:
+    """Payments with the last line of their order, as the order detail topic has it by now."""
+    detail = site.facts(fixed.FACT_ORDER_DETAIL, schemas.ORDER_DETAIL).select("id", "order_id", *PAID_COLUMNS, "ts")
+    rows = changelog.payment_detail(cdc.extract_payment(_changes(site), types), detail, idle if site.forgets else None)
+    return [site.upsert(rows, fixed.FACT_PAYMENT)]
+
+
+def register_table(site: Site, idle: int = fixed.REGISTER_IDLE_MS) -> Queries:
+    log = logs.extract_dim_log(logs.read_page_log(site.lines(fixed.LOG_PAGE)))
+    rows = changelog.register_dim(cdc.extract_user_register(_changes(site)), log, idle if site.forgets else None)
+    return [site.upsert(rows, fixed.FACT_REGISTER)]
+
+
 # Metrics --------------------------------------------------------------------------------------------
 
 def _windows(rows: DataFrame, delay: str, keys, measures, size: str = fixed.METRIC_WINDOW, cur_date: bool = True) -> DataFrame:
@@ -365,4 +388,5 @@ METRIC_JOBS = {
     "course_orders": course_orders, "source_orders": source_orders, "province_orders": province_orders,
     "course_review": course_review, "exam_paper": exam_paper, "exam_score": exam_score, "exam_question": exam_question,
 }
-LAYERS = [CONFIG_JOBS, DIMENSION_JOBS, LOG_JOBS, FACT_JOBS, PAYMENT_JOBS, METRIC_JOBS]
+TABLE_JOBS = {"order_detail_table": order_detail_table, "payment_table": payment_table, "register_table": register_table}
+LAYERS = [CONFIG_JOBS, DIMENSION_JOBS, LOG_JOBS, FACT_JOBS, PAYMENT_JOBS, TABLE_JOBS, METRIC_JOBS]

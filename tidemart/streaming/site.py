@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import jsontext
-from ..sinks.tables import DimStore, MetricTable, read_or_none
-from ..sources import cdc, readers
+from ..sinks.tables import DimStore, KeyedTable, MetricTable, read_or_none
+from ..sources import cdc, config, readers
 
 # Order of the changes of one dimension row.
 CHANGE_ORDER = ("ts", "xid")
@@ -78,8 +78,10 @@ class Site:
             raise ValueError(f"no configuration {name} below {self.root}")
         return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
 
-    def config_table(self, name: str) -> MetricTable:
-        return MetricTable(self.spark, f"{self.root}/config_changes/{name}")
+    def config_table(self, name: str) -> KeyedTable:
+        """The last change per configured table (and row type): a reader does not go through all there ever were."""
+        key = config.FACT_KEY if name == "table_process_dwd" else config.DIM_KEY
+        return KeyedTable(self.spark, f"{self.root}/config_changes/{name}", key, ["ts_ms"], buckets=1)
 
     def dim_store(self) -> DimStore:
         return DimStore(self.spark, f"{self.root}/dims", CHANGE_ORDER)
@@ -91,6 +93,20 @@ class Site:
     def metric_table(self, name: str) -> MetricTable:
         return MetricTable(self.spark, f"{self.root}/metrics/{name}")
 
+    def fact_table(self, name: str) -> KeyedTable:
+        """Facts by key: the last change of each counts."""
+        return KeyedTable(self.spark, f"{self.root}/facts/{name}", ["change_id"], ["version"], "op")
+
+    def upsert(self, changes: DataFrame, name: str) -> StreamingQuery:
+        """Write changes (change_id, version, op, columns) to their fact table."""
+        table = self.fact_table(name)
+        return self.each_batch(changes, f"{name}_table", table.write)
+
+    @property
+    def forgets(self) -> bool:
+        """Whether joins forget idle rows: a run that ends with its present input keeps them for the next."""
+        return "availableNow" not in self.trigger
+
     def metric(self, rows: DataFrame, name: str, names: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> StreamingQuery:
         """Write closed windows. `names` adds dimension names, looked up when the batch is written, so
         that it sees the dimensions of that moment."""
