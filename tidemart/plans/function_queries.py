@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ..functions import jsontext, measures, names, timefmt
+from ..functions import jsontext, measures, names, segment, timefmt
 from . import inputs
 from .inputs_sql import with_inputs
 from .registry import query
@@ -108,3 +108,61 @@ def fn_names(spark, sf):
     rows = inputs.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("custKey"), F.col("c_mktsegment").alias("marketSegment"))
     return names.snake_columns(rows)
+
+# The names of three parts in a row, without spaces, and the paths through their lattice.
+NAMES = """
+  SELECT p_partkey, name || next_name || after AS name FROM (
+    SELECT p_partkey, replace(p_name, ' ', '') AS name,
+           coalesce(lead(replace(p_name, ' ', ''), 1) OVER (ORDER BY p_partkey), '') AS next_name,
+           coalesce(lead(replace(p_name, ' ', ''), 2) OVER (ORDER BY p_partkey), '') AS after
+    FROM part)"""
+SEGMENTED = f"""
+  WITH RECURSIVE names AS ({NAMES}), dictionary AS (
+    SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part
+    UNION SELECT DISTINCT replace(p_name, ' ', '') FROM part WHERE p_partkey % 3 = 0
+    UNION SELECT DISTINCT right(replace(p_name, ' ', ''), 5) FROM part WHERE p_partkey % 5 = 0),
+  texts AS (SELECT DISTINCT name FROM names),
+  paths AS (
+    SELECT name, 1 AS pos, CAST([] AS VARCHAR[]) AS words, CAST([] AS INTEGER[]) AS sizes FROM texts
+    UNION ALL
+    SELECT p.name, p.pos + len(s.step), list_append(p.words, s.step), list_append(p.sizes, CAST(len(s.step) AS INTEGER))
+    FROM paths p JOIN LATERAL (
+      SELECT word AS step FROM dictionary WHERE word = substring(p.name, p.pos, len(word))
+      UNION ALL
+      SELECT substring(p.name, p.pos, 1) WHERE NOT EXISTS (
+        SELECT 1 FROM dictionary WHERE word = substring(p.name, p.pos, len(word)))) s ON true
+    WHERE p.pos <= len(p.name)),
+  best AS (
+    SELECT name, words FROM paths WHERE pos > len(name)
+    QUALIFY row_number() OVER (PARTITION BY name ORDER BY len(words), sizes DESC) = 1)
+  SELECT n.p_partkey, array_to_string(b.words, ' ') AS words FROM names n JOIN best b ON n.name = b.name"""
+
+
+def _unspaced(spark, sf):
+    parts = inputs.table(spark, sf, "part")
+    flat = parts.select("p_partkey", F.regexp_replace("p_name", " ", "").alias("n"))
+    later = [flat.select((F.col("p_partkey") - i).alias("p_partkey"), F.col("n").alias(f"n{i}")) for i in (1, 2)]
+    three = flat.join(later[0], "p_partkey", "left").join(later[1], "p_partkey", "left")
+    entries = parts.select(F.explode(F.split("p_name", " ")).alias("word")).unionByName(
+        flat.where("p_partkey % 3 = 0").select(F.col("n").alias("word"))).unionByName(
+        flat.where("p_partkey % 5 = 0").select(F.expr("right(n, 5)").alias("word")))
+    return three.select("p_partkey", F.concat("n", F.coalesce("n1", F.lit("")), F.coalesce("n2", F.lit(""))).alias("name")), entries
+
+
+@query("segment_words", SEGMENTED)
+def segment_words(spark, sf):
+    """Words of unspaced names by a dictionary with overlapping words."""
+    names, entries = _unspaced(spark, sf)
+    cut = segment.segmenter(spark, segment.dictionary(entries))
+    # Characters that no word covers come out as one word; the SQL has them one by one.
+    return names.select("p_partkey", F.concat_ws(" ", cut(F.col("name"))).alias("words"))
+
+
+@query("segment_lateral", f"""
+  SELECT keyword, count(*) AS n FROM (SELECT unnest(string_split(words, ' ')) AS keyword FROM ({SEGMENTED})) GROUP BY keyword""")
+def segment_lateral(spark, sf):
+    """The same as a table function in SQL, counted by word."""
+    names, entries = _unspaced(spark, sf)
+    segment.register(spark, "segment_text", segment.dictionary(entries))
+    names.createOrReplaceTempView("unspaced_names")
+    return spark.sql("SELECT keyword, count(*) AS n FROM unspaced_names, LATERAL segment_text(name) GROUP BY keyword")
