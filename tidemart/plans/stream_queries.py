@@ -122,6 +122,43 @@ def stream_fix_is_new(spark, sf):
     return finished(spark, stateful.fix_is_new(_flat_pages(spark, sf)).select("event_id", "mid", "ts", "is_new"))
 
 
+def _halves(spark, sf, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first half of the time as a table, the second as a stream."""
+    ends = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    later, path = F.col("ts") >= ((ends.low or 0) + (ends.high or 0)) // 2, shared_folder(spark, "half")
+    rows.where(later).write.parquet(path)
+    return rows.where(~later), spark.readStream.schema(rows.schema).parquet(path)
+
+
+@query("stream_fix_is_new_resumed", with_inputs("pages", """
+  SELECT event_id, mid, ts,
+         CASE WHEN is_new = '1' AND visit_day <> ts // 86400000 THEN '0' ELSE is_new END AS is_new
+  FROM (SELECT *, first_value(ts // 86400000) OVER w
+                  - CASE WHEN first_value(is_new) OVER w = '1' THEN 0 ELSE 1 END AS visit_day
+        FROM pages WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id))
+  WHERE ts >= (SELECT (min(ts) + max(ts)) // 2 FROM pages)"""))
+def stream_fix_is_new_resumed(spark, sf):
+    """A stream that starts in the middle, its state filled by a batch query over the rows before."""
+    pages = inputs.pages(spark, sf).select("event_id", "common.mid", "common.is_new", "ts")
+    before, after = _halves(spark, sf, pages)
+    fixed_rows = stateful.fix_is_new(after, history=stateful.visits(before))
+    return finished(spark, fixed_rows.select("event_id", "mid", "ts", "is_new"))
+
+
+@query("stream_new_users_resumed", with_inputs("ev", """
+  SELECT event_id, user_id, ts, CASE WHEN before IS NULL THEN 1 ELSE 0 END AS is_new_user FROM (
+    SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM (
+      SELECT * FROM ev WHERE event_type = 'click'
+      QUALIFY row_number() OVER (PARTITION BY user_id, ts // 86400000 ORDER BY ts, event_id) = 1))
+  WHERE ts >= (SELECT (min(ts) + max(ts)) // 2 FROM ev WHERE event_type = 'click')"""))
+def stream_new_users_resumed(spark, sf):
+    """Daily first clicks of the second half, and whether the user was never seen in either half."""
+    clicks = inputs.events(spark, sf).where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+    before, after = _halves(spark, sf, clicks)
+    first = stateful.daily_first(after, ["user_id"], history=stateful.last_days(before, ["user_id"]))
+    return finished(spark, first.select("event_id", "user_id", "ts", stateful.is_new_user().alias("is_new_user")))
+
+
 @query("stream_unique_visitor", with_inputs("pages", """
   SELECT event_id, mid, page_id, ts FROM pages WHERE last_page_id IS NULL
   QUALIFY row_number() OVER (PARTITION BY mid, ts // 86400000 ORDER BY ts, event_id) = 1"""))

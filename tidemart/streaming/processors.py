@@ -30,6 +30,9 @@ class FixIsNew(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.visit = handle.getValueState("visit", "day long")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.visit.update((int(initialState["day"].iat[0]),))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Rows only wait here while the device is unknown: the earliest of them decides, and a device
         # that first says '0' was here before.
@@ -62,6 +65,12 @@ class DailyFirst(StatefulProcessor):
         self.handle = handle
         self.seen = handle.getValueState("seen", "day long, at long")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        day, at = int(initialState["day"].iat[0]), int(initialState["at"].iat[0])
+        self.seen.update((day, at))
+        if self.ttl_ms is not None:
+            self.handle.registerTimer(at + self.ttl_ms)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One row per day is held, however many rows the key has.
         firsts: dict[int, pd.DataFrame] = {}

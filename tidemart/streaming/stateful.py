@@ -25,16 +25,30 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn(processors.DAY, F.unix_date(timefmt.day_of_millis("ts")).cast("long"))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, event_time: str = "") -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, event_time: str = "",
+           history: DataFrame | None = None) -> DataFrame:
     for name, value in STATEFUL.items():
         df.sparkSession.conf.set(name, value)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime",
-        eventTimeColumnName=event_time)
+        initialState=None if history is None else history.groupBy(*keys), eventTimeColumnName=event_time)
 
 
-def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG) -> DataFrame:
-    """Rows with is_new corrected per device.
+def visits(logs: DataFrame, key: str = "mid") -> DataFrame:
+    """(key, day): what fix_is_new knows of each device after a batch of rows; a device that first says '0' was here before."""
+    rows = _dated(logs.where(F.col(key).isNotNull() & F.col("ts").isNotNull()))
+    first = rows.groupBy(key).agg(F.min(F.struct("ts", "is_new", processors.DAY)).alias("_first"))
+    return first.select(key, (F.col(f"_first.{processors.DAY}") - F.when(F.col("_first.is_new") == "1", 0).otherwise(1)).alias("day"))
+
+
+def last_days(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, day, at): what daily_first knows of each key after a batch of rows: its last day and the first time on it."""
+    days = _dated(rows).groupBy(*keys, F.col(processors.DAY).alias("day")).agg(F.min("ts").alias("at"))
+    return days.groupBy(*keys).agg(F.max(F.struct("day", "at")).alias("_last")).select(*keys, "_last.day", "_last.at")
+
+
+def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG, history: DataFrame | None = None) -> DataFrame:
+    """Rows with is_new corrected per device. history: `visits` of the rows before the stream.
 
     Only rows that say '1' can change. The others come out as they are; for the state, the earliest of
     them per device, day and task batch are enough, without their content. Rows without key or time stay as they are.
@@ -51,7 +65,7 @@ def fix_is_new(logs: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LONG)
             yield pd.concat([frame[frame["says_new"]], signs.assign(is_new="0")])
 
     timed = _timed(marked.mapInPandas(lighten, marked.schema), delay)
-    corrected = _keyed(timed, [key], processors.FixIsNew(), timed.schema).where("says_new").select(*logs.columns)
+    corrected = _keyed(timed, [key], processors.FixIsNew(), timed.schema, history=history).where("says_new").select(*logs.columns)
     return logs.where(~says_new).unionByName(corrected)
 
 
@@ -71,21 +85,23 @@ def precombine(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def daily_first(df: DataFrame, keys: Sequence[str], delay: str = fixed.DELAY_LONG, ttl_ms: int | None = None,
-                keep_all: bool = False) -> DataFrame:
-    """First row per key and day with previous_day (days since 1970, -1: none) and is_first.
+                keep_all: bool = False, history: DataFrame | None = None) -> DataFrame:
+    """First row per key and day with previous_day (days since 1970, -1: none) and is_first. history: `last_days` of the
+    rows before the stream.
 
     The result keeps event_time as its time column, so that a window aggregation can follow.
     """
     rows = df if keep_all else precombine(df, keys)
-    return daily_first_timed(_timed(rows, delay), keys, ttl_ms, keep_all)
+    return daily_first_timed(_timed(rows, delay), keys, ttl_ms, keep_all, history)
 
 
-def daily_first_timed(timed: DataFrame, keys: Sequence[str], ttl_ms: int | None = None, keep_all: bool = False) -> DataFrame:
+def daily_first_timed(timed: DataFrame, keys: Sequence[str], ttl_ms: int | None = None, keep_all: bool = False,
+                      history: DataFrame | None = None) -> DataFrame:
     """The same over rows that have event_time and a watermark, as after another keyed operator."""
     fields = [f for f in timed.schema.fields if f.name != "event_time"]
     schema = T.StructType([*fields, T.StructField("event_time", T.TimestampType()),
                            T.StructField("previous_day", T.LongType()), T.StructField("is_first", T.IntegerType())])
-    return _keyed(_dated(timed), keys, processors.DailyFirst(ttl_ms, keep_all), schema, "event_time")
+    return _keyed(_dated(timed), keys, processors.DailyFirst(ttl_ms, keep_all), schema, "event_time", history)
 
 
 def is_new_user() -> Column:
