@@ -29,8 +29,7 @@ WINDOW = 4096
 OPEN_WINDOWS = 64
 FAN_IN = 64
 END_ID = 2
-WORD_BYTES = 40 << 20
-STEM_BYTES = 80 << 20
+MEMORY = 120 << 20  # bytes a worker remembers words by, a third of them for whole words
 ENTRY_BYTES = 170  # of a dictionary's entry and its two objects
 LINE = 1000
 LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")  # ASCII and Latin-1 letters in UTF-8
@@ -51,16 +50,17 @@ class WordIds:
     The memory is bounded by its bytes: a full one starts anew.
     """
 
-    held: dict[str, WordIds] = {}
+    held: dict[tuple[str, int], WordIds] = {}
 
     @classmethod
-    def shared(cls, path: str) -> WordIds:
+    def shared(cls, path: str, memory: int) -> WordIds:
         """One per worker process, which serves many tasks."""
-        if path not in cls.held:
-            cls.held[path] = cls(path)
-        return cls.held[path]
+        if (path, memory) not in cls.held:
+            cls.held.clear()
+            cls.held[path, memory] = cls(path, memory)
+        return cls.held[path, memory]
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -71,6 +71,7 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {b"": b""}
         self.word_bytes = self.stem_bytes = 0
+        self.most_words, self.most_stems = memory // 3, memory - memory // 3
 
     def _keep_ends(self, stems: list[bytes], ids: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> None:
         data = ids.tobytes()
@@ -118,7 +119,7 @@ class WordIds:
         tails = [w[len(stem):] for w, stem in zip(tailed, cut)]
         # The tokenizer lower-cases after composing characters, so this may come first in ASCII alone. It makes fewer stems.
         plain_stems, cut = ([w.lower() if w.isascii() else w for w in x] for x in (plain, cut))
-        if self.stem_bytes > STEM_BYTES:
+        if self.stem_bytes > self.most_stems:
             self.stems, self.stem_bytes = {b"": b""}, 0
         new = list({*plain_stems, *cut, *tails}.difference(self.stems))
         self._encode(new)
@@ -134,7 +135,7 @@ class WordIds:
         new: set[bytes] = set()
         for words in split:
             new.update(words)
-        if self.word_bytes > WORD_BYTES:
+        if self.word_bytes > self.most_words:
             self.words, self.word_bytes = {}, 0
         new = new.difference(self.words)
         if new:
@@ -211,8 +212,8 @@ def sequence_base(round_: int, part: int) -> int:
     return round_ << 58 | part << 32
 
 
-def pack_part(batches: Iterator[pa.RecordBatch], path: str, window: int, most_open: int, end_id: int):
-    words, packer, part = WordIds.shared(path), Packer(window, most_open), TaskContext.get().partitionId()
+def pack_part(batches: Iterator[pa.RecordBatch], path: str, window: int, most_open: int, end_id: int, memory: int = MEMORY):
+    words, packer, part = WordIds.shared(path, memory), Packer(window, most_open), TaskContext.get().partitionId()
     end, out = np.array([end_id], dtype="<u4").tobytes(), None
     for batch in batches:
         if out is None:
@@ -275,13 +276,13 @@ def merger(round_: int, last: bool, window: int, most_open: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-         most_open: int = OPEN_WINDOWS, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         most_open: int = OPEN_WINDOWS, end_id: int = END_ID, memory: int = MEMORY) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. memory: of a worker, for words."""
     thin = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = SCHEMA.format(id=thin.schema[0].dataType.simpleString())
     closed: list[DataFrame] = []
     rows = written(thin.mapInArrow(
-        lambda batches: pack_part(batches, tokenizer, window, most_open, end_id), schema), "packed")
+        lambda batches: pack_part(batches, tokenizer, window, most_open, end_id, memory), schema), "packed")
     round_ = 0
     while True:
         closed.append(rows.where(F.col("part").isNull()))
