@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.llm import exact_dedup, langid, mixing, packing, queries, simhash
 from tidemart.llm.common import prepared, table, written
 
+PACKING_MEMORY = 30 << 20
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -47,7 +48,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    return packing.pack(docs, queries.tokenizer_path())
+    # The workers and the executors still hold what the stages before needed: fewer words are remembered here.
+    return packing.pack(docs, queries.tokenizer_path(), memory=PACKING_MEMORY)
 
 
 STAGES: list[tuple[str, Stage]] = [
