@@ -11,10 +11,11 @@ import itertools
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .. import fixed
 
@@ -72,31 +73,32 @@ class DailyFirst(StatefulProcessor):
             self.handle.registerTimer(at + self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One row per day is held, however many rows the key has.
-        firsts: dict[int, pd.DataFrame] = {}
+        # One row per day is held, however many rows the key has. State is asked and told once, and the days come out together.
+        firsts = None
         for frame in rows:
-            for day, of_day in frame.groupby(DAY):
-                best = of_day["ts"].idxmin()
-                row, later = of_day.loc[[best]], of_day.drop(index=best)
-                held = firsts.get(int(day))
-                if held is None or row["ts"].iat[0] < held["ts"].iat[0]:
-                    firsts[int(day)], row = row, held
-                if self.keep_all:
-                    yield from (f.assign(previous_day=-1, is_first=0).drop(columns=DAY) for f in (later, row)
-                                if f is not None and len(f))
-        for day in sorted(firsts):
-            row = firsts[day]
-            last, at = self.seen.get() if self.seen.exists() else (-1, 0)
-            is_first = day > last
-            if is_first:
-                now = int(row["ts"].iat[0])
-                self.seen.update((day, now))
-                if self.ttl_ms is not None:
-                    if last >= 0:
-                        self.handle.deleteTimer(at + self.ttl_ms)
-                    self.handle.registerTimer(now + self.ttl_ms)
-            if is_first or self.keep_all:
-                yield row.assign(previous_day=last, is_first=int(is_first)).drop(columns=DAY)
+            both = frame if firsts is None else pd.concat([firsts, frame])
+            both = both.iloc[both["ts"].to_numpy().argsort(kind="stable")]
+            both = both[both[DAY].notna().to_numpy()]
+            again = both[DAY].duplicated().to_numpy()
+            if self.keep_all and again.any():
+                yield both[again].assign(previous_day=-1, is_first=0).drop(columns=DAY)
+            firsts = both[~again]
+        days = firsts[DAY].to_numpy().astype("int64")
+        order = days.argsort()
+        days, firsts = days[order], firsts.iloc[order]
+        last, at = self.seen.get() or (-1, 0)
+        new = days > last
+        if new.any():
+            now = int(firsts["ts"].iat[-1])
+            self.seen.update((int(days[-1]), now))
+            if self.ttl_ms is not None:
+                if last >= 0:
+                    self.handle.deleteTimer(at + self.ttl_ms)
+                self.handle.registerTimer(now + self.ttl_ms)
+        if new.any() or self.keep_all and len(days):
+            before = np.maximum(np.concatenate([[last], days[:-1]]), last)
+            out = firsts.assign(previous_day=before, is_first=new.astype("int32")).drop(columns=DAY)
+            yield out if self.keep_all else out[new]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -146,40 +148,65 @@ class UserJump(StatefulProcessor):
 
 
 class FirstLogin(StatefulProcessor):
-    """Per device and day: hold the earliest row, emit it a while after the first arrival."""
+    """Per device: hold the earliest row of each day, emit it a while after the first arrival.
+
+    A device's days are one value, and one timer stands for what is next: a row to emit, or a day to forget.
+    """
 
     def __init__(self, schema: StructType, hold_ms: int = fixed.LOGIN_HOLD_MS, ttl_ms: int = fixed.STATE_TTL_MS):
         self.schema, self.hold_ms, self.ttl_ms = schema, hold_ms, ttl_ms
+        day = StructType([StructField("day", LongType()), StructField("due", LongType()), StructField("row", schema)])
+        self.state = StructType([StructField("timer", LongType()), StructField("days", ArrayType(day))])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.earliest = handle.getValueState("earliest", self.schema)
-        self.due = handle.getValueState("due", "at long")
+        self.held = handle.getValueState("held", self.state)
+
+    def _days(self) -> tuple[int | None, dict[int, tuple]]:
+        """The timer, and per day its due time and its row (none: it is out)."""
+        timer, days = self.held.get() or (None, [])
+        return timer, {day: (due, row and tuple(row)) for day, due, row in days}
+
+    def _keep(self, timer: int | None, days: dict[int, tuple], fired: bool) -> None:
+        due = min((due + self.ttl_ms if row is None else due for due, row in days.values()), default=None)
+        if due is None:
+            self.held.clear()
+            return
+        self.held.update((due, [(day, *held) for day, held in days.items()]))
+        if fired or due != timer:
+            if timer is not None and not fired:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         names = self.schema.names
         at = names.index("ts")
-        best = self.earliest.get() if self.earliest.exists() else None
+        timer, days = self._days()
+        fresh: dict[int, tuple] = {}
         for frame in rows:
-            row = tuple(frame.loc[frame["ts"].idxmin(), names])
-            if best is None or row[at] < best[at]:
-                best = row
-        self.earliest.update(tuple(best))
-        if not self.due.exists():
-            due = int(best[at]) + self.hold_ms
-            self.due.update((due,))
-            self.handle.registerTimer(due)
-            self.handle.registerTimer(due + self.ttl_ms)
+            frame = frame.iloc[frame["ts"].to_numpy().argsort(kind="stable")]
+            first = frame[frame[DAY].notna().to_numpy() & ~frame[DAY].duplicated().to_numpy()]
+            values = zip(*[first[n].astype(object).where(first[n].notna(), None) for n in names], strict=True)
+            for day, row in zip(first[DAY].astype("int64"), values, strict=True):
+                if day not in fresh or row[at] < fresh[day][at]:
+                    fresh[day] = row
+        for day, row in fresh.items():
+            due, held = days.get(day, (int(row[at]) + self.hold_ms, row))
+            if held is not None:  # else it is out
+                days[day] = (due, row if row[at] < held[at] else held)
+        if fresh:
+            self._keep(timer, days, False)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        (due,) = self.due.get()
-        if expiredTimerInfo.getExpiryTimeInMs() == due:
-            yield pd.DataFrame([self.earliest.get()], columns=self.schema.names)
-        else:
-            # The day of this key is over: no state is left behind.
-            self.earliest.clear()
-            self.due.clear()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        timer, days = self._days()
+        ready = {day: (due, None) for day, (due, row) in days.items() if row is not None and due <= now}
+        if ready:
+            yield pd.DataFrame([days[day][1] for day in ready], columns=self.schema.names)
+        # A day that is over leaves no state behind.
+        days = {day: held for day, held in (days | ready).items() if held[1] is not None or held[0] + self.ttl_ms > now}
+        self._keep(timer, days, True)
 
     def close(self) -> None:
         pass

@@ -131,5 +131,4 @@ def first_login(pages: DataFrame, key: str = "mid", delay: str = fixed.DELAY_LON
     """Earliest logged-in row per device and day, emitted two seconds (event time) after its arrival."""
     logged_in = pages.where(F.col("uid").isNotNull())
     schema = logged_in.schema
-    timed = _timed(logged_in, delay).withColumn("_day", timefmt.day_of_millis("ts"))
-    return _keyed(timed, [key, "_day"], processors.FirstLogin(schema), schema)
+    return _keyed(_dated(_timed(logged_in, delay)), [key], processors.FirstLogin(schema), schema)
