@@ -184,3 +184,21 @@ def test_hot_user_in_order_metric(spark):
     got = metrics.source_orders(rows, source, "1 day").withColumn("w", (F.unix_timestamp("stt") / 86_400).cast("int")).collect()
     assert {(r.w, r.source_id): (float(r.order_total_amount), r.order_uu_count, r.order_count) for r in got} == {
         k: (amount[k] * 1.5, users[k], orders[k]) for k in amount}
+
+
+def test_batches_start_from_more_parts_than_streams(spark, monkeypatch):
+    """A task's share of a large shuffle must not be a core's share of it; streams keep a state store per core."""
+    from tidemart.plans import registry
+
+    key, parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.shuffle.partitions"
+    monkeypatch.setattr(registry, "QUERIES", {})
+    before = {k: spark.conf.get(k, None) for k in (key, parts)}
+    spark.conf.unset(key)
+    try:
+        registry.query("grouped")(lambda spark, sf: spark.range(1000).selectExpr("id % 500 AS k").groupBy("k").count())
+        df = registry.QUERIES["grouped"](spark, "")
+        assert "hashpartitioning(k#" in (plan := df._jdf.queryExecution().executedPlan().toString()) and f", {registry.BATCH_PARTS})" in plan
+        assert spark.conf.get(parts) == before[parts] and df.count() == 500
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
