@@ -28,7 +28,7 @@ def _opened(lines: DataFrame, broken: bool = False) -> DataFrame:
     rows = jsontext.member_texts(lines, "value", MEMBERS, REC)
     rows = rows if broken else rows.where(F.col(REC).isNotNull())
     texts = [F.get(F.col(REC)["texts"], F.array_position(F.col(REC)["names"], m).cast("int") - 1).alias(m) for m in MEMBERS]
-    rows = rows.select("*", jsontext.once(F.struct(*texts)).alias(KNOWN))
+    rows = jsontext.with_once(rows, KNOWN, F.struct(*texts))
     common, changed = _member("common"), F.lit(False)
     if "is_new" in lines.columns:
         # The value needs no escape, it is 0 or 1. The old one is replaced where it stands, a missing one goes first.
@@ -41,7 +41,7 @@ def _opened(lines: DataFrame, broken: bool = False) -> DataFrame:
         common = F.when(changed, new).otherwise(common)
     parts = F.struct(common.alias("common"), changed.alias("changed"),
                      *[F.when(is_page(), jsontext.items(_member(m))).alias(m) for m in ("displays", "actions")])
-    return rows.select("*", jsontext.once(parts).alias(PARTS))
+    return jsontext.with_once(rows, PARTS, parts)
 
 
 def _member(name: str) -> Column:
@@ -139,4 +139,5 @@ def split_log(lines: DataFrame, dirty: bool = False) -> DataFrame:
     ]
     none = F.array().cast("array<struct<topic:string,value:string>>")
     out = F.concat(*[F.coalesce(o, none) for o in outputs])
-    return rows.select(*_rest(lines), F.inline(out))
+    # In a column of its own, so that it is compiled.
+    return rows.select(*_rest(lines), out.alias("_out")).select(*_rest(lines), F.inline("_out"))

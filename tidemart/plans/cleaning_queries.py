@@ -25,7 +25,7 @@ def read_cdc_envelope(spark, sf):
 
 
 def _page_topic(spark, sf):
-    return inputs.pages(spark, sf).select(jsontext.once(jsontext.record(["common", "page", "ts"])).alias("value"))
+    return jsontext.with_once(inputs.pages(spark, sf), "value", jsontext.record(["common", "page", "ts"])).select("value")
 
 
 @query("read_page_log", with_inputs("pages", "SELECT mid, uid, sid, sc, page_id, last_page_id, during_time, ts FROM pages"))
