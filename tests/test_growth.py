@@ -1,6 +1,26 @@
 """Work per row that must not grow: what is parsed, compiled, shuffled and written."""
 
+import json
+
+
 from tidemart.operators import splitting
+from tidemart.sources import cdc
+
+
+def _change(table, **data):
+    return json.dumps({"database": "edu", "table": table, "type": "insert", "ts": 1, "data": data})
+
+
+def test_only_lines_that_may_be_of_a_table_are_parsed(spark):
+    other = _change("user_info", id="4", note="of order_detail")
+    lines = [_change("order_detail", id="1"), _change("order_detail", id="2").replace("order_detail", "order\\u005fdetail"),
+             _change("order_info", id="3"), other, "{order_detail", "", None]
+    topic = spark.createDataFrame([(v,) for v in lines], "value string")
+    rows = cdc.read_cdc_envelope(topic, tables=["order_detail"])
+    assert sorted(r.id for r in rows.select(*cdc.fields("id")).collect()) == ["1", "2"]
+    assert sorted(r.id for r in cdc.read_cdc_envelope(topic).select(*cdc.fields("id")).collect()) == ["1", "2", "3", "4"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("Contains(value")
 
 
 def test_generators_of_the_splitter_only_hand_on(spark):

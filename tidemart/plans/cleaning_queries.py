@@ -179,18 +179,18 @@ def _texts(*columns: str) -> str:
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
 
 
-def _trade_topic(spark, sf):
-    return cdc.read_cdc_envelope(inputs.as_topic(inputs.trade_changes(spark, sf)))
+def _trade_topic(spark, sf, name):
+    return cdc.read_cdc_envelope(inputs.as_topic(inputs.trade_changes(spark, sf)), tables=[name])
 
 
 @query("extract_order_detail", with_inputs("order_detail", f"SELECT {_texts(*cdc.ORDER_DETAIL)}, create_date, ts FROM order_detail"))
 def extract_order_detail(spark, sf):
-    return cdc.extract_order_detail(_trade_topic(spark, sf))
+    return cdc.extract_order_detail(_trade_topic(spark, sf, "order_detail"))
 
 
 @query("extract_order_info", with_inputs("order_info", f"SELECT {_texts(*cdc.ORDER_INFO)}, ts FROM order_info"))
 def extract_order_info(spark, sf):
-    return cdc.extract_order_info(_trade_topic(spark, sf))
+    return cdc.extract_order_info(_trade_topic(spark, sf, "order_info"))
 
 
 @query("extract_order_log", with_inputs("order_log", "SELECT * FROM order_log"))
@@ -200,12 +200,12 @@ def extract_order_log(spark, sf):
 
 @query("extract_payment", with_inputs("payments", f"SELECT {_texts(*cdc.PAYMENT)}, create_date, ts FROM payments"))
 def extract_payment(spark, sf):
-    return cdc.extract_payment(_trade_topic(spark, sf))
+    return cdc.extract_payment(_trade_topic(spark, sf, "payment_info"))
 
 
 @query("extract_user_register", with_inputs("registers", "SELECT id, create_time, create_date, ts FROM registers"))
 def extract_user_register(spark, sf):
-    return cdc.extract_user_register(_trade_topic(spark, sf))
+    return cdc.extract_user_register(_trade_topic(spark, sf, "user_info"))
 
 
 @query("extract_dim_log", with_inputs("pages", """
