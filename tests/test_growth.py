@@ -2,8 +2,9 @@
 
 import json
 
-
 from tidemart.operators import splitting
+from tidemart.session import shared_folder
+from tidemart.sinks import tables
 from tidemart.sources import cdc
 
 
@@ -29,3 +30,35 @@ def test_generators_of_the_splitter_only_hand_on(spark):
     steps = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line]
     assert len(steps) > 3
     assert all("explode(array(_step#" in s or "inline(_out#" in s for s in steps)
+
+
+def test_keyed_table_shuffles_a_batch_once_and_no_digest_on_reading(spark, monkeypatch):
+    table = tables.KeyedTable(spark, shared_folder(spark, "t"), ["id"], ["ts"], buckets=4)
+    plans, prepare = [], table.log.prepare
+
+    def seen(rows, partition=None):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return prepare(rows, partition)
+
+    monkeypatch.setattr(table.log, "prepare", seen)
+    batches = [[("a", 1, "x"), ("b", 5, "x"), ("a", 2, "y"), (None, 1, "n")], [("a", 2, "z"), ("b", 4, "z"), ("c", 1, None), (None, None, "m")]]
+    for number, rows in enumerate(batches):
+        table.write(spark.createDataFrame(rows, "id string, ts bigint, v string"), number)
+    assert len(plans) == 2 and not any("Repartition" in p for p in plans)
+    got = table.read()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 2, "z"), ("b", 5, "x"), ("c", 1, None), (None, 1, "n")], key=str)
+    assert "md5" not in got._jdf.queryExecution().optimizedPlan().toString()
+    only = tables.KeyedTable(spark, table.path, ["id"], ["ts"], buckets=4).read([table.bucket_of("a")]).where("id = 'a'")
+    assert [r.v for r in only.collect()] == ["z"]
+
+
+def test_keyed_table_writes_a_file_per_bucket_where_nothing_merges_parts(spark):
+    """As in a micro-batch."""
+    table = tables.KeyedTable(spark, shared_folder(spark, "t"), ["id"], ["ts"], buckets=4)
+    rows = spark.range(400, numPartitions=4).selectExpr("cast(id as string) AS id", "id AS ts")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table.write(rows, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert [e.files for e, _ in table.log.folders()] == [4] and table.read().count() == 400
