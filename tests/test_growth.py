@@ -62,3 +62,22 @@ def test_keyed_table_writes_a_file_per_bucket_where_nothing_merges_parts(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert [e.files for e, _ in table.log.folders()] == [4] and table.read().count() == 400
+
+
+def test_batch_queries_read_files_in_small_splits(spark, monkeypatch):
+    """A map task sorts its share of wide rows before the partial aggregate; a chosen size stays."""
+    from tidemart.plans import registry
+
+    key = "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(registry, "QUERIES", {})
+    registry.query("read")(lambda spark, sf: spark.range(1))
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        registry.QUERIES["read"](spark, "")
+        assert spark.conf.get(key) == registry.SPLIT
+        spark.conf.set(key, "7m")
+        registry.QUERIES["read"](spark, "")
+        assert spark.conf.get(key) == "7m"
+    finally:
+        spark.conf.set(key, before)
